@@ -9,15 +9,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """64-bit digest of a row; nulls are marked, as the hash itself passes over them."""
+    nulls = F.concat(*(F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns))
+    return F.xxhash64(*columns, nulls)
+
+
 def dedup_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column] = ()) -> DataFrame:
-    """One row per key: the newest, and among equals the largest remaining columns.
+    """One row per key: the newest, and among equally new ones the one of largest digest.
 
-    The order is total, so reruns agree. The `= 1` filter on row_number lets Spark keep a
-    single row per key in every map task (WindowGroupLimit), so a key that holds a third
-    of all rows reaches the shuffle as one row per task.
+    The digest makes reruns agree without carrying every column through the sort and the
+    shuffle, so columns nobody asks for are still pruned. The `= 1` filter on row_number lets
+    Spark keep a single row per key in every map task (WindowGroupLimit), so a key that holds
+    a third of all rows reaches the shuffle as one row per task.
     """
     rest = [c for c in df.columns if c not in set(keys)]
-    order = [*newest_first, *(F.col(c).desc_nulls_last() for c in rest)]
+    order = [*newest_first, *([row_digest(rest).desc()] if rest else [])] or list(keys)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 

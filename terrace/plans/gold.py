@@ -17,9 +17,7 @@ from terrace.schemas import table_schema
 
 def _finish(df: DataFrame, table: str, loaded_at: datetime | None) -> DataFrame:
     stamp = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
-    stamped = df.withColumn("_etl_loaded_ts", stamp)
-    return stamped.select(
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema(table).fields))
+    return df.withColumn("_etl_loaded_ts", stamp).to(table_schema(table))
 
 
 def _sum_if(condition: Column, amount: str) -> Column:

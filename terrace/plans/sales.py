@@ -12,8 +12,7 @@ from terrace.schemas import table_schema
 def with_profit(sales: DataFrame) -> DataFrame:
     """The sales contract with profit derived from units, price and margin."""
     profit = C.sales_profit(F.col("units_sold"), F.col("unit_price"), F.col("margin_pct"))
-    return sales.withColumn("profit", profit).select(
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema("sales").fields))
+    return sales.withColumn("profit", profit).to(table_schema("sales"))
 
 
 def _totals(grouped) -> DataFrame:

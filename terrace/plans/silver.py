@@ -20,9 +20,7 @@ def _load_time(loaded_at: datetime | None) -> Column:
 
 def _contract(df: DataFrame, table: str, loaded_at: datetime | None) -> DataFrame:
     """Columns of the table contract, in its order and types."""
-    stamped = df.withColumn("_etl_loaded_ts", _load_time(loaded_at))
-    return stamped.select(
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema(table).fields))
+    return df.withColumn("_etl_loaded_ts", _load_time(loaded_at)).to(table_schema(table))
 
 
 def _latest(df: DataFrame, key: str) -> DataFrame:

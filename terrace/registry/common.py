@@ -30,7 +30,7 @@ class Tables:
         return given.given_table(self.spark, self.sf_dir, name)
 
     def raw(self, view: str) -> DataFrame:
-        return given.raw(self.spark, self.sf_dir, view)
+        return given.raw(self.spark, view, self.given)
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -116,13 +116,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def comparable(df: DataFrame) -> DataFrame:
     """Dates as ISO text and decimals as doubles, which print alike in every engine."""
-    def convert(f):
-        if isinstance(f.dataType, DateType):
-            return F.col(f.name).cast("string").alias(f.name)
-        if isinstance(f.dataType, DecimalType):
-            return F.col(f.name).cast("double").alias(f.name)
-        return F.col(f.name)
-    return df.select(*(convert(f) for f in df.schema.fields if f.name != "_etl_loaded_ts"))
+    as_type = {DateType: "string", DecimalType: "double"}
+    return df.selectExpr(*(
+        f"cast(`{f.name}` as {as_type[type(f.dataType)]}) AS `{f.name}`"
+        if type(f.dataType) in as_type else f"`{f.name}`"
+        for f in df.schema.fields if f.name != "_etl_loaded_ts"))
 
 
 def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
