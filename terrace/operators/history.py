@@ -126,9 +126,20 @@ def change_counts(classified: DataFrame) -> DataFrame:
         F.count("*").alias("keys"), F.sum("duplicate_rows").alias("duplicate_rows"))
 
 
-def append_unseen(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
-    """Rows of a batch to append: ids not yet stored, one row per id, however old the event."""
-    return dedup_latest(incoming, [key]).join(existing.select(key), key, "left_anti")
+def append_unseen(
+    existing: DataFrame, incoming: DataFrame, key: str, partition: str | None = None
+) -> DataFrame:
+    """Rows of a batch to append: ids not yet stored, one row per id, however old the event.
+
+    With `partition`, a column both sides have and `existing` is stored by (such as the month
+    of an immutable event date), only the partitions that the batch touches are read.
+    """
+    batch = dedup_latest(incoming, [key])
+    if partition is None:
+        return batch.join(existing.select(key), key, "left_anti")
+    touched = existing.join(incoming.select(partition).distinct(), partition, "left_semi")
+    return batch.join(touched.select(key, partition), [key, partition], "left_anti").select(
+        *incoming.columns)
 
 
 def version_as_of(

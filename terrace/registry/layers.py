@@ -172,10 +172,9 @@ def rejections():
   FROM (SELECT *, try_cast(transaction_date as date) AS d,
           try_cast(amount as decimal(15,2)) AS a FROM b_transactions_dirty)""")
 def dq_quarantine(t: Tables) -> DataFrame:
-    valid, rejected = history.quarantine(t.raw("transactions_dirty"), rejections())
-    kept = ["transaction_id", "account_id", "transaction_date", "amount"]
-    return valid.select(*kept, F.lit("").alias("reasons")).unionByName(
-        rejected.select(*kept, F.concat_ws(",", "reasons").alias("reasons")))
+    judged = history.with_reasons(t.raw("transactions_dirty"), rejections())
+    return judged.select("transaction_id", "account_id", "transaction_date", "amount",
+                         F.concat_ws(",", "reasons").alias("reasons"))
 
 
 # --- mapping -------------------------------------------------------------------------------
