@@ -127,14 +127,18 @@ def change_counts(classified: DataFrame) -> DataFrame:
 
 
 def append_unseen(
-    existing: DataFrame, incoming: DataFrame, key: str, partition: str | None = None
+    existing: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    partition: str | None = None,
+    newest_first: Sequence[Column] = (),
 ) -> DataFrame:
     """Rows of a batch to append: ids not yet stored, one row per id, however old the event.
 
     With `partition`, a column both sides have and `existing` is stored by (such as the month
     of an immutable event date), only the partitions that the batch touches are read.
     """
-    batch = dedup_latest(incoming, [key])
+    batch = dedup_latest(incoming, [key], newest_first)
     if partition is None:
         return batch.join(existing.select(key), key, "left_anti")
     touched = existing.join(incoming.select(partition).distinct(), partition, "left_semi")

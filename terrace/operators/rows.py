@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 def row_digest(columns: Sequence[str]) -> Column:
     """64-bit digest of a row; nulls are marked, as the hash itself passes over them."""
-    nulls = F.concat(*(F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns))
-    return F.xxhash64(*columns, nulls)
+    names = [f"`{c}`" for c in columns]
+    nulls = ", ".join(f"if({c} IS NULL, '1', '0')" for c in names)
+    return F.expr(f"xxhash64({', '.join(names)}, concat({nulls}))")
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column] = ()) -> DataFrame:

@@ -41,7 +41,7 @@ class Series:
         if (longest or 0) <= max_rows:
             return cls(df, tuple(series), tuple(order), False)
         ranged = df.repartitionByRange(math.ceil(total / max_rows) * 2, *series, *order)
-        # The chunk number must not change when a task is rerun, hence the checkpoint.
+        # The chunk number must not change when a task is rerun, hence the stored copy.
         numbered = cut_lineage(ranged.withColumn(CHUNK, F.spark_partition_id()))
         return cls(numbered, tuple(series), tuple(order), True)
 

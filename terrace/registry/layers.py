@@ -125,15 +125,17 @@ _ON_TIME = f"transaction_date < '{given.TRANSACTION_CUTOFF}' AND status <> 'REVE
 
 
 @query("late_arrival_merge", f"""
-  SELECT substring(transaction_date, 1, 7) AS month, count(DISTINCT transaction_id) AS appended,
-    count(DISTINCT CASE WHEN transaction_date < '{given.TRANSACTION_CUTOFF}' THEN transaction_id
-      END) AS late
-  FROM b_transactions
+  SELECT substring(day, 1, 7) AS month, count(*) AS appended,
+    count(*) FILTER (WHERE day < '{given.TRANSACTION_CUTOFF}') AS late
+  FROM (SELECT transaction_id, max(transaction_date) AS day FROM b_transactions
+        GROUP BY transaction_id)
   WHERE transaction_id NOT IN (SELECT transaction_id FROM b_transactions WHERE {_ON_TIME})
   GROUP BY ALL""")
 def late_arrival_merge(t: Tables) -> DataFrame:
     batch = t.raw("transactions")
-    appended = history.append_unseen(batch.filter(_ON_TIME), batch, "transaction_id")
+    appended = history.append_unseen(
+        batch.filter(_ON_TIME), batch, "transaction_id",
+        newest_first=[F.col("transaction_date").desc()])
     late = F.col("transaction_date") < given.TRANSACTION_CUTOFF
     return appended.groupBy(F.substring("transaction_date", 1, 7).alias("month")).agg(
         F.count("*").alias("appended"), F.count_if(late).alias("late"))

@@ -211,7 +211,7 @@ def stream_dedup(t: Tables) -> DataFrame:
         f"{root}/arriving")
     arriving = streams.read_stream(t.spark, f"{root}/arriving", events.schema)
     streams.store_all_available(
-        streams.drop_resent(arriving, ["event_id"], "ts", "60 days"),
+        streams.drop_resent(arriving, ["event_id"], "ts", "60 days", streams.file_block()),
         f"{root}/kept", f"{root}/checkpoint")
     return t.spark.read.parquet(f"{root}/kept").select(
         "event_id", "user_id", "event_type", "value")

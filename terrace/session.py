@@ -21,6 +21,8 @@ def build_session(app: str = "terrace", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Call sites are only wanted in error messages and cost much when plans are built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -55,6 +57,11 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the result outlives the executors that computed it."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows as stored under the shared folder: what is read back survives lost executors.
+
+    A written table rather than `checkpoint()`: it is columnar, so later steps read only the
+    columns they use, and the plan is computed once.
+    """
+    path = new_folder(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -35,11 +35,25 @@ def read_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.readStream.schema(schema).parquet(path)
 
 
+def file_block(parts: int = 64) -> Column:
+    """Number of the file block a row was read from, folded into `parts` values."""
+    return F.pmod(
+        F.xxhash64("_metadata.file_path", "_metadata.file_block_start"), F.lit(parts))
+
+
 def drop_resent(
-    arriving: DataFrame, keys: Sequence[str], ts: str, lateness: str
+    arriving: DataFrame, keys: Sequence[str], ts: str, lateness: str, spread: Column | None = None
 ) -> DataFrame:
-    """One row per key among rows at most `lateness` apart; the state is bounded by that span."""
-    return arriving.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(list(keys))
+    """One row per key among rows at most `lateness` apart; the state is bounded by that span.
+
+    `spread` is for keys sent very many times: copies are first reduced to one per key and value
+    of `spread` (such as `file_block()`), so no task receives all copies of a key.
+    """
+    marked = arriving.withWatermark(ts, lateness)
+    if spread is not None:
+        marked = marked.withColumn("_spread", spread).dropDuplicatesWithinWatermark(
+            [*keys, "_spread"]).drop("_spread")
+    return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
 def advise(scored: DataFrame, prediction: str) -> DataFrame:
