@@ -46,16 +46,20 @@ def account_measures(accounts: DataFrame) -> DataFrame:
 
 
 def transaction_measures(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Per customer; first per account, so the join sees one row per account."""
-    per_account = transactions.groupBy("account_sk").agg(
+    """Per customer; first per account, so the join sees one row per account.
+
+    Takes the stored fact, or typed transactions that still carry the account's own id.
+    """
+    key = "account_sk" if "account_sk" in transactions.columns else "account_id"
+    per_account = transactions.groupBy(key).agg(
         F.count("transaction_id").alias("n"),
         _sum_if(_is("transaction_type", "CREDIT"), "amount").alias("credit"),
         _sum_if(_is("transaction_type", "DEBIT"), "amount").alias("debit"),
         F.max("transaction_date").alias("last_date"),
         F.count_if(F.col("status").isin("FAILED", "REVERSED")).alias("unsuccessful"),
     )
-    owner = accounts.select("account_sk", "customer_id")
-    return per_account.join(owner, "account_sk").groupBy("customer_id").agg(
+    owner = accounts.select(key, "customer_id")
+    return per_account.join(owner, key).groupBy("customer_id").agg(
         F.sum("n").alias("total_transactions"),
         F.sum("credit").alias("total_credit_amount"),
         F.sum("debit").alias("total_debit_amount"),

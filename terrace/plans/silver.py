@@ -116,6 +116,16 @@ def _current_keys(customers: DataFrame) -> DataFrame:
     return customers.filter("is_current = 'Y'").select("customer_id", "customer_sk")
 
 
+def typed_transactions(transactions: DataFrame) -> DataFrame:
+    """Raw transactions with typed columns, before any key is resolved."""
+    return apply_mapping(transactions, SILVER_MAPPINGS["fact_transaction"]())
+
+
+def typed_loans(loans: DataFrame) -> DataFrame:
+    """The latest state of each loan with typed columns, before any key is resolved."""
+    return apply_mapping(_latest(loans, "loan_id"), SILVER_MAPPINGS["fact_loan"]())
+
+
 def fact_transaction(
     transactions: DataFrame,
     accounts: DataFrame,
@@ -134,8 +144,7 @@ def fact_transaction(
         .join(branches.select("branch_id", "branch_sk"), "branch_id", "left")
         .select("account_id", "account_sk", "customer_sk", "branch_sk")
     )
-    typed = apply_mapping(transactions, SILVER_MAPPINGS["fact_transaction"]())
-    keyed = typed.join(route, "account_id", "left").withColumns({
+    keyed = typed_transactions(transactions).join(route, "account_id", "left").withColumns({
         "transaction_sk": C.surrogate_key(F.col("transaction_id")),
         "date_sk": C.date_key(F.col("transaction_date")),
     })
@@ -150,9 +159,9 @@ def fact_loan(
     loaded_at: datetime | None = None,
 ) -> DataFrame:
     """One row per loan, the latest state sent, with resolved keys."""
-    typed = apply_mapping(_latest(loans, "loan_id"), SILVER_MAPPINGS["fact_loan"]())
     keyed = (
-        typed.join(_current_keys(customers), "customer_id", "left")
+        typed_loans(loans)
+        .join(_current_keys(customers), "customer_id", "left")
         .join(branches.select("branch_id", "branch_sk"), "branch_id", "left")
         .join(products.select("product_id", "product_sk"), "product_id", "left")
         .withColumn("loan_sk", C.surrogate_key(F.col("loan_id")))

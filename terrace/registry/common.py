@@ -62,6 +62,15 @@ class Tables:
     def transactions(self) -> DataFrame:
         return self.transactions_from("transactions")
 
+    @cached_property
+    def typed_transactions(self) -> DataFrame:
+        """For marts that need no resolved key, and so no join of the largest table."""
+        return silver.typed_transactions(self.raw("transactions"))
+
+    @cached_property
+    def typed_loans(self) -> DataFrame:
+        return silver.typed_loans(self.raw("loans"))
+
     def transactions_from(self, view: str) -> DataFrame:
         return silver.fact_transaction(
             self.raw(view), self.accounts, self.customers, self.branches)
@@ -77,7 +86,8 @@ class Tables:
 
     @cached_property
     def customer_360(self) -> DataFrame:
-        return gold.customer_360(self.customers, self.accounts, self.transactions, self.loans)
+        return gold.customer_360(
+            self.customers, self.accounts, self.typed_transactions, self.loans)
 
     @cached_property
     def branch_performance(self) -> DataFrame:
@@ -86,11 +96,11 @@ class Tables:
 
     @cached_property
     def daily_summary(self) -> DataFrame:
-        return gold.daily_txn_summary(self.transactions)
+        return gold.daily_txn_summary(self.typed_transactions)
 
     @cached_property
     def loan_portfolio(self) -> DataFrame:
-        return gold.loan_portfolio(self.loans)
+        return gold.loan_portfolio(self.typed_loans)
 
     @cached_property
     def readings(self) -> DataFrame:
