@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
-from terrace.operators.rows import dedup_latest
+from terrace.operators.rows import dedup_latest, drop_known, fresh_key, keep_known
 from terrace.schemas import OPEN_END
 
 VERSION_COLUMNS = ["effective_date", "expiry_date", "is_current"]
@@ -140,10 +140,9 @@ def append_unseen(
     """
     batch = dedup_latest(incoming, [key], newest_first)
     if partition is None:
-        return batch.join(existing.select(key), key, "left_anti")
-    touched = existing.join(incoming.select(partition).distinct(), partition, "left_semi")
-    return batch.join(touched.select(key, partition), [key, partition], "left_anti").select(
-        *incoming.columns)
+        return drop_known(batch, existing, [key])
+    touched = keep_known(existing, incoming, [partition])
+    return drop_known(batch, touched, [key, partition]).select(*incoming.columns)
 
 
 def version_as_of(
@@ -152,13 +151,15 @@ def version_as_of(
     """Each fact with the version valid on its date (null if none).
 
     Equality on the key does the distribution and the date range filters inside the join. A
-    key with very many facts has few versions, so its join partition can be split over tasks.
+    key with very many facts has few versions, so its join partition is split over tasks.
     """
     side = versions.select(
-        F.col(key).alias("_key"), F.col("effective_date").alias("_from"),
+        fresh_key(key).alias("_key"), F.col("effective_date").alias("_from"),
         F.col("expiry_date").alias("_to"), *carried)
-    match = (facts[key] == F.col("_key")) & facts[on_date].between(F.col("_from"), F.col("_to"))
-    return facts.join(side, match, "left").drop("_key", "_from", "_to")
+    match = (F.col("_fact_key") == F.col("_key")) & facts[on_date].between(
+        F.col("_from"), F.col("_to"))
+    return facts.withColumn("_fact_key", fresh_key(key)).join(side, match, "left").drop(
+        "_fact_key", "_key", "_from", "_to")
 
 
 def version_gaps(versions: DataFrame, key: str) -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from terrace.functions import columns as C
+from terrace.operators.history import version_gaps
+from terrace.schemas import OPEN_END
 
 RESULT = (
     "check_name string, table_name string, column_name string, severity string, "
@@ -425,9 +427,7 @@ def audit(df: DataFrame, table: str, max_minutes: float = 5.0) -> DataFrame:
 
 def version_invariants(versions: DataFrame, table: str, key: str, sk: str) -> DataFrame:
     """Row rules in one pass, key rules in one grouping, plus unique keys and date gaps."""
-    from terrace.operators.history import version_gaps
-
-    open_end = F.lit("9999-12-31").cast("date")
+    open_end = F.lit(OPEN_END).cast("date")
     current = F.col("is_current") == "Y"
     rows = apply_rules(versions, table, [
         none_broken("open_end_iff_current", "expiry_date",

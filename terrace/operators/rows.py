@@ -30,6 +30,23 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Colu
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def fresh_key(name: str) -> Column:
+    """The key as text without any known partitioning, for the sides of a join that may be skewed.
+
+    Adaptive execution splits a skewed join partition only when both sides were shuffled for
+    that join. A side that an earlier grouping or window left partitioned by the key would not
+    be; by this key it is shuffled again. A side read from storage is shuffled once either way.
+    """
+    return F.concat(F.col(name).cast("string"), F.lit(""))
+
+
+def lookup(facts: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """Left join to a side that has one row per key; a hot key is split over tasks."""
+    keyed = side.withColumn("_key", fresh_key(key)).drop(key)
+    return facts.withColumn("_fact_key", fresh_key(key)).join(
+        keyed, F.col("_fact_key") == F.col("_key"), "left").drop("_fact_key", "_key")
+
+
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     """k best rows; each task keeps k, and one task merges them (TakeOrderedAndProject)."""
     return df.orderBy(*order).limit(k)
@@ -43,6 +60,16 @@ def distinct_keys(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()
 
 
+def keep_known(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key the other side has; its keys are made distinct in the map tasks first."""
+    return df.join(distinct_keys(other, *keys), list(keys), "left_semi")
+
+
+def drop_known(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key the other side lacks."""
+    return df.join(distinct_keys(other, *keys), list(keys), "left_anti")
+
+
 def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.subtract(right)
 
@@ -52,9 +79,8 @@ def symmetric_difference(
 ) -> DataFrame:
     """Keys found on one side only, with the side that has them."""
     a, b = distinct_keys(left, *keys), distinct_keys(right, *keys)
-    only_left = a.join(b, list(keys), "left_anti").withColumn("side", F.lit(labels[0]))
-    only_right = b.join(a, list(keys), "left_anti").withColumn("side", F.lit(labels[1]))
-    return only_left.unionByName(only_right)
+    return drop_known(a, b, keys).withColumn("side", F.lit(labels[0])).unionByName(
+        drop_known(b, a, keys).withColumn("side", F.lit(labels[1])))
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
 from terrace.operators.history import open_versions, scd2_merge
-from terrace.operators.rows import dedup_latest
+from terrace.operators.rows import dedup_latest, lookup
 from terrace.plans.mapping import SILVER_MAPPINGS, apply_mapping
-from terrace.schemas import SILVER_DDL, TRACKED_CUSTOMER, table_schema
+from terrace.schemas import TRACKED_CUSTOMER, table_schema
 
 
 def _load_time(loaded_at: datetime | None) -> Column:
@@ -138,13 +138,11 @@ def fact_transaction(
     The account side is resolved to customer and branch first, so the transactions - by far
     the largest input - are joined, and shuffled, once instead of three times.
     """
-    route = (
-        accounts.select("account_id", "account_sk", "customer_id", "branch_id")
-        .join(_current_keys(customers), "customer_id", "left")
-        .join(branches.select("branch_id", "branch_sk"), "branch_id", "left")
-        .select("account_id", "account_sk", "customer_sk", "branch_sk")
-    )
-    keyed = typed_transactions(transactions).join(route, "account_id", "left").withColumns({
+    route = accounts.select("account_id", "account_sk", "customer_id", "branch_id")
+    route = lookup(route, _current_keys(customers), "customer_id")
+    route = lookup(route, branches.select("branch_id", "branch_sk"), "branch_id")
+    route = route.select("account_id", "account_sk", "customer_sk", "branch_sk")
+    keyed = lookup(typed_transactions(transactions), route, "account_id").withColumns({
         "transaction_sk": C.surrogate_key(F.col("transaction_id")),
         "date_sk": C.date_key(F.col("transaction_date")),
     })
@@ -159,14 +157,8 @@ def fact_loan(
     loaded_at: datetime | None = None,
 ) -> DataFrame:
     """One row per loan, the latest state sent, with resolved keys."""
-    keyed = (
-        typed_loans(loans)
-        .join(_current_keys(customers), "customer_id", "left")
-        .join(branches.select("branch_id", "branch_sk"), "branch_id", "left")
-        .join(products.select("product_id", "product_sk"), "product_id", "left")
-        .withColumn("loan_sk", C.surrogate_key(F.col("loan_id")))
-    )
+    keyed = lookup(typed_loans(loans), _current_keys(customers), "customer_id")
+    keyed = lookup(keyed, branches.select("branch_id", "branch_sk"), "branch_id")
+    keyed = lookup(keyed, products.select("product_id", "product_sk"), "product_id")
+    keyed = keyed.withColumn("loan_sk", C.surrogate_key(F.col("loan_id")))
     return _contract(keyed, "fact_loan", loaded_at)
-
-
-SILVER_TABLES = list(SILVER_DDL)

@@ -295,7 +295,7 @@ def agg_share(t: Tables) -> DataFrame:
 
 
 @query("date_bounds", """
-  SELECT cast(cast(least(min(l_shipdate), min(l_shipdate)) as date) as varchar) AS first_day,
+  SELECT cast(cast(min(l_shipdate) as date) as varchar) AS first_day,
     cast(cast(max(l_shipdate) as date) as varchar) AS last_day FROM lineitem""")
 def bounds(t: Tables) -> DataFrame:
     return date_bounds(

@@ -11,13 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
 from terrace.plans import gold, silver
-from terrace.registry.layers_sql import with_layers
+from terrace.registry.layers_sql import AS_OF, FIRST_DAY, SECOND_DAY, with_layers
 from terrace.sources import given
 
-AS_OF = "2002-01-01"  # the day ages and recency are measured at
-FIRST_DAY = "1995-01-01"  # effective day of the first customer load
-SECOND_DAY = "1998-07-01"  # effective day of the second customer load
-
 
 @dataclass(frozen=True)
 class Tables:

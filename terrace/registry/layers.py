@@ -281,13 +281,13 @@ def join_inner_compare(t: Tables) -> DataFrame:
   SELECT c.customer_id, c.full_name FROM s_dim_customer c
   WHERE NOT EXISTS (SELECT 1 FROM s_dim_account a WHERE a.customer_id = c.customer_id)""")
 def join_left_anti(t: Tables) -> DataFrame:
-    return t.customers.select("customer_id", "full_name").join(
-        t.accounts.select("customer_id"), "customer_id", "left_anti")
+    return rows.drop_known(
+        t.customers.select("customer_id", "full_name"), t.accounts, ["customer_id"])
 
 
 @query("join_left_semi", """
   SELECT a.account_id, a.status FROM s_dim_account a
   WHERE EXISTS (SELECT 1 FROM b_transactions t WHERE t.account_id = a.account_id)""")
 def join_left_semi(t: Tables) -> DataFrame:
-    return t.accounts.select("account_id", "status").join(
-        t.raw("transactions").select("account_id"), "account_id", "left_semi")
+    return rows.keep_known(
+        t.accounts.select("account_id", "status"), t.raw("transactions"), ["account_id"])

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from terrace.schemas import (BRONZE_COLUMNS, GOLD_DDL, SILVER_DDL, TRACKED_CUSTOMER,
-                             table_schema)
+from terrace.schemas import BRONZE_COLUMNS, TRACKED_CUSTOMER, table_schema
 from terrace.sources import given
 
-AS_OF, FIRST_DAY, SECOND_DAY = "2002-01-01", "1995-01-01", "1998-07-01"
+AS_OF = "2002-01-01"  # the day ages and recency are measured at
+FIRST_DAY = "1995-01-01"  # effective day of the first customer load
+SECOND_DAY = "1998-07-01"  # effective day of the second customer load
 
 
 def initcap(x: str) -> str:
@@ -262,7 +263,3 @@ def with_layers(sql: str) -> str:
     chain = ",\n".join(f"{n} AS ({LAYERS[n]})" for n in LAYERS if n in needed)
     return f"WITH {chain}\n{sql}" if not sql.lstrip().upper().startswith("WITH ") else (
         f"WITH {chain},\n{sql.lstrip()[5:]}")
-
-
-assert set(GOLD_DDL) == {f"gold_{n[2:]}" for n in LAYERS if f"gold_{n[2:]}" in GOLD_DDL}
-assert {f"s_{t}" for t in SILVER_DDL} <= set(LAYERS)

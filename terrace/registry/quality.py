@@ -530,22 +530,22 @@ def profile_bounds(t: Tables) -> DataFrame:
     return checked.withColumn("metric", F.round("metric", 4))
 
 
-_SHARES = {"fact_transaction": ("transaction_type", {"CREDIT": (0.3, 0.7), "DEBIT": (0.3, 0.7)}),
-           "fact_transaction ": ("status", {"SUCCESS": (0.6, 1.0)})}
+_SHARES = {"transaction_type": {"CREDIT": (0.3, 0.7), "DEBIT": (0.3, 0.7)},
+           "status": {"SUCCESS": (0.6, 1.0)}}
 
 
 @query("dq_distribution", _all(
-    *(_within(f"share_{v}", table.strip(), c, share(
+    *(_within(f"share_{v}", "fact_transaction", c, share(
         f"count(*) FILTER (WHERE {c} = '{v}')", "count(*)"), low, high, "s_fact_transaction",
-        "warn") for table, (c, bounds) in _SHARES.items() for v, (low, high) in bounds.items()),
+        "warn") for c, bounds in _SHARES.items() for v, (low, high) in bounds.items()),
     _row("min_distinct", "dim_customer", "city", "count(DISTINCT city)", ">= 10",
          "CASE WHEN count(DISTINCT city) >= 10 THEN 0 ELSE 1 END", "m >= 10", "s_dim_customer"),
     _row("min_distinct", "fact_loan", "loan_type", "count(DISTINCT loan_type)", ">= 7",
          "CASE WHEN count(DISTINCT loan_type) >= 7 THEN 0 ELSE 1 END", "m >= 7", "s_fact_loan")))
 def distribution(t: Tables) -> DataFrame:
     return Q.combine([
-        *(Q.share_bounds(t.transactions, table.strip(), c, bounds)
-          for table, (c, bounds) in _SHARES.items()),
+        *(Q.share_bounds(t.transactions, "fact_transaction", c, bounds)
+          for c, bounds in _SHARES.items()),
         Q.min_distinct(t.customers, "dim_customer", "city", 10),
         Q.min_distinct(t.loans, "fact_loan", "loan_type", 7)])
 
@@ -584,7 +584,7 @@ def null_rate(t: Tables) -> DataFrame:
 @query("dq_audit", _all(
     *(_row("not_null", "bronze_customers", c, "0 * count(*)", "= 0", "0", "m = 0", "b_customers_day2")
       for c in ("_ingestion_ts", "_source_file", "_batch_id")),
-    _within("single_batch", "_".join(["bronze", "customers"]), "_batch_id",
+    _within("single_batch", "bronze_customers", "_batch_id",
             "cast(2 + 0 * count(*) as double)", 1, 1, "b_customers_day2"),
     _within("load_window_minutes", "bronze_customers", "_ingestion_ts",
             "cast(10 + 0 * count(*) as double)", 0, 5.0, "b_customers_day2")))

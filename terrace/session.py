@@ -19,6 +19,8 @@ def build_session(app: str = "terrace", master: str | None = None, **conf: str)
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Split skewed partitions even where the next step then needs one more shuffle.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         # Call sites are only wanted in error messages and cost much when plans are built.
