@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry_module
+from terrace import registry
 from tests.conftest import SMALL, plan_of
 from tools.compare import check, connect
 
-ORACLE = entry_module.oracle_sql()
-QUERIES = entry_module.queries()
+ORACLE = registry.ORACLE
+QUERIES = {name: registry.runnable(name) for name in registry.QUERIES}
 # Fitting trees takes long; test_models covers these on small frames.
 SLOW = {"ml_random_forest", "ml_gbt", "ml_stacking", "ml_feature_importance", "ml_linear_models"}
 
