@@ -67,7 +67,35 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
 FROM texts LEFT JOIN hit h USING (r) LEFT JOIN listed l USING (r)
 """
 
+OP2 = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT r, doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM texts WHERE len(h) >= 200),
+said AS (SELECT r, doc_id, i, substr(h, 2 * i + 1, 200) AS w FROM windows),
+later AS (
+    SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM said)
+    WHERE n > 1),
+edges AS (
+    SELECT r, i, coalesce(i > lag(i) OVER one + 100, true) AS new FROM later
+    WINDOW one AS (PARTITION BY r ORDER BY i)),
+runs AS (
+    SELECT r, min(i) AS a, max(i) + 100 AS b
+    FROM (SELECT r, i, sum(new::INT) OVER (PARTITION BY r ORDER BY i) AS k FROM edges) GROUP BY r, k),
+gaps AS (
+    SELECT r, a, b, coalesce(lag(b) OVER one, 0) AS before, lead(a) OVER one IS NULL AS final
+    FROM runs WINDOW one AS (PARTITION BY r ORDER BY a)),
+kept AS (
+    SELECT r, sum(b - a)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans,
+           string_agg(substr(h, 2 * before + 1, 2 * (a - before))
+                      || CASE WHEN final THEN substr(h, 2 * b + 1) ELSE '' END, '' ORDER BY a) AS h
+    FROM gaps JOIN texts USING (r) GROUP BY r)
+SELECT doc_id, (len(t.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k.h, t.h))) AS kept_sha256
+FROM texts t LEFT JOIN kept k USING (r)
+"""
+
 ORACLE = {
+    "op2_suffix_array_dedup": OP2,
     "op5_quality_rules": OP5,
     "op9_benchmark_decontamination": OP9,
 }

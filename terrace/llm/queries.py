@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, decontaminate, quality_rules
+from terrace.llm import bpe, decontaminate, quality_rules, sharding, simhash, suffix_dedup
 from terrace.llm.oracle import ORACLE  # noqa: F401
 
+SHARDS = 16
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Workers that start from here on find this package, wherever they are started.
+    root = str(Path(__file__).resolve().parents[2])
+    have = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in have.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, have)))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = suffix_dedup.deduplicated(docs)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["past"] - s["first"])
+    return done.select(
+        "row.doc_id", (F.octet_length("kept") + removed).cast("long").alias("n_bytes"),
+        removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged, name = quality_rules.ledger(docs)
@@ -27,6 +45,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality_rules.passes(failed).alias("kept"), failed.alias("failed_rules"))
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+                        "component_id")
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.sharded(table(spark, sf_dir, "documents"), SHARDS)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found, name = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -49,4 +79,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op5_quality_rules, op9_benchmark_decontamination, op10_bpe)}
+    f.__name__: f for f in (
+        op2_suffix_array_dedup, op5_quality_rules, op6_simhash_near_dedup, op7_sharding,
+        op9_benchmark_decontamination, op10_bpe)}
