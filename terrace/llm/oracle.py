@@ -67,6 +67,32 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit,
 FROM texts LEFT JOIN hit h USING (r) LEFT JOIN listed l USING (r)
 """
 
+CONTROL = ("<|turn|>", "<|text|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>",
+           "<|im_start|>", "<|im_end|>", "<|endoftext|>", "<|startoftext|>")
+
+
+def _escaped_length(column: str) -> str:
+    marks = " + ".join(f"(length({column}) - length(replace({column}, '{c}', ''))) // {len(c)}"
+                       for c in ("\\", *CONTROL))
+    return f"length({column}) + {marks}"
+
+
+OP1 = f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+joined AS (
+    SELECT conv_id, count(*)::BIGINT AS n_turns,
+           string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+           coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS learnt,
+           sum({len("<|turn|><|text|><|end|>")} + {_escaped_length("role")}
+               + {_escaped_length("text")})::BIGINT AS formatted_chars
+    FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt)::BIGINT AS loss_chars,
+       sha256(learnt) AS loss_sha256, formatted_chars FROM joined
+"""
+
 OP2 = r"""
 WITH texts AS (
     SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
@@ -95,6 +121,7 @@ FROM texts t LEFT JOIN kept k USING (r)
 """
 
 ORACLE = {
+    "op1_chat_formatting": OP1,
     "op2_suffix_array_dedup": OP2,
     "op5_quality_rules": OP5,
     "op9_benchmark_decontamination": OP9,

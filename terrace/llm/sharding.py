@@ -5,8 +5,8 @@ side by side. A sample in which a row's chance grows with its size gives quantil
 that order; they are the boundaries of many more ranges than there are shards. A range that still
 holds over twice its share is divided again by a denser sample of its own rows; a text that
 a third of all rows share is divided by id. Running sums are then taken within ranges only, and over
-the few ranges, so no task holds more than a range, and a row's shard follows from the bytes before
-it. Rows of equal text in one range go to one shard.
+the few ranges, so no task holds more than a range, and a row's shard follows from where the middle
+of its text lies among the bytes. Rows of equal text in one range go to one shard.
 
 Everything is DataFrame functions. What comes to the driver, and goes back as a literal, are the
 boundaries: at most `ranges` and those of divided ranges.
@@ -90,9 +90,9 @@ def sharded(docs: DataFrame, shards: int, doc_id: str = "doc_id", text: str = "t
     before = sizes.select("range", (F.sum("bytes").over(W.orderBy("range")) - F.col("bytes")).alias("start"))
     ordered = W.partitionBy("range").orderBy(*KEY)
     offset = F.sum("size").over(ordered.rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
-    text_start = F.min("offset").over(W.partitionBy("range", "k"))
+    middle = F.min("offset").over(W.partitionBy("range", "k")) + F.expr("sum(size) OVER (PARTITION BY range, k) div 2")
     placed = cut_lineage(
-        ranged.withColumn("offset", offset).withColumn("offset", text_start).join(before, "range")
+        ranged.withColumn("offset", offset).withColumn("offset", middle).join(before, "range")
         .withColumn("shard", F.least(F.expr(f"(start + offset) * {shards} div {total}"),
                                      F.lit(shards - 1)).cast("int"))
         .select("range", "shard", *KEY, "doc_id", "size", "text_crc32"))
