@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, chat_format, decontaminate, quality_rules, sharding, simhash, suffix_dedup
+from terrace.llm import bpe, chat_format, decontaminate, lm_scoring, quality_rules, sharding, simhash, suffix_dedup
 from terrace.llm.oracle import ORACLE  # noqa: F401
 
 SHARDS = 16
@@ -50,6 +50,10 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged, name = quality_rules.ledger(docs)
@@ -95,5 +99,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_chat_formatting, op2_suffix_array_dedup, op5_quality_rules, op6_simhash_near_dedup, op7_sharding,
+        op1_chat_formatting, op2_suffix_array_dedup, op3_lm_scoring, op5_quality_rules, op6_simhash_near_dedup, op7_sharding,
         op9_benchmark_decontamination, op10_bpe)}
