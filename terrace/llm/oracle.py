@@ -38,6 +38,52 @@ judged AS (
 SELECT *, failed_rules & 3 <> 0 AS base_failed, failed_rules = 0 AS kept FROM judged
 """
 
+def _digits(column: str, first: int) -> str:
+    digit = lambda k: f"(instr('0123456789abcdef', substr(md5({column}), {k}, 1)) - 1)"
+    return f"({digit(first)} * 16 + {digit(first + 1)})"
+
+
+_SAID = "kind || ' ' || pattern"
+OP8 = rf"""
+WITH read AS (
+    SELECT row_number() OVER () AS r, page_id,
+           rtrim(lower(regexp_extract(coalesce(url, ''),
+               '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.') AS host,
+           list_filter(string_split(regexp_extract(coalesce(url, ''),
+               '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda s: s <> '') AS parts,
+           DATE '2024-01-01' + ({_digits("concat_ws(' ', page_id::VARCHAR, url)", 1)}
+                                + {_digits("concat_ws(' ', page_id::VARCHAR, url)", 3)})::INT AS fetched
+    FROM pages),
+asked AS (
+    SELECT r, fetched, 'host' AS kind, host AS pattern FROM read
+    UNION ALL SELECT r, fetched, 'domain', unnest(list_transform(range(1, len(string_split(host, '.')) + 1),
+        lambda i: array_to_string(string_split(host, '.')[i:], '.'))) FROM read
+    UNION ALL SELECT r, fetched, 'prefix', unnest(list_transform(range(1, len(parts) + 1),
+        lambda i: host || '/' || array_to_string(parts[1:i], '/'))) FROM read),
+drawn AS (
+    SELECT CASE WHEN {_digits(_SAID, 3)} < 128 THEN 'malware' ELSE 'spam' END AS list, kind, pattern,
+           {_digits(_SAID, 5)} AS d, {_digits(_SAID, 7)} % 100 + 1 AS days, {_digits(_SAID, 9)} AS fate
+    FROM (SELECT DISTINCT kind, pattern FROM asked WHERE pattern <> '') WHERE {_digits(_SAID, 1)} < 64),
+events AS (
+    SELECT list, kind, pattern, true AS added, DATE '2024-01-01' + d::INT AS happened FROM drawn
+    UNION ALL SELECT list, kind, pattern, false, DATE '2024-01-01' + (d + days)::INT FROM drawn WHERE fate < 128
+    UNION ALL SELECT list, kind, pattern, true, DATE '2024-01-01' + (d + days + 30)::INT FROM drawn WHERE fate < 64),
+spans AS (
+    SELECT list, kind, pattern, added, happened AS since,
+           lead(happened) OVER (PARTITION BY list, kind, pattern ORDER BY happened) AS until FROM events),
+hits AS (
+    SELECT r, list, a.kind, a.pattern, since FROM asked a
+    JOIN spans s ON a.kind = s.kind AND a.pattern = s.pattern AND added
+        AND fetched >= since AND (until IS NULL OR fetched < until)),
+gathered AS (
+    SELECT r, count(*) AS n, array_to_string(list_sort(list_distinct(list(list))), ',') AS lists,
+           string_agg(list || ' ' || kind || ' ' || pattern || ' ' || since::VARCHAR, chr(10)
+                      ORDER BY list, kind, pattern, since) AS matched FROM hits GROUP BY r)
+SELECT page_id, host, fetched::VARCHAR AS fetched, coalesce(n, 0) > 0 AS blocked,
+       coalesce(n, 0)::BIGINT AS n_matches, coalesce(lists, '') AS lists, coalesce(matched, '') AS matched
+FROM read LEFT JOIN gathered USING (r)
+"""
+
 OP9 = r"""
 WITH texts AS (
     SELECT row_number() OVER () AS r, doc_id,
@@ -124,5 +170,6 @@ ORACLE = {
     "op1_chat_formatting": OP1,
     "op2_suffix_array_dedup": OP2,
     "op5_quality_rules": OP5,
+    "op8_url_filters": OP8,
     "op9_benchmark_decontamination": OP9,
 }

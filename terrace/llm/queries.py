@@ -6,13 +6,14 @@ import os
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import bpe, chat_format, decontaminate, lm_scoring, quality_rules, sharding, simhash, suffix_dedup
+from terrace.llm import bpe, chat_format, decontaminate, lm_scoring, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, url_filters
 from terrace.llm.oracle import ORACLE  # noqa: F401
 
 SHARDS = 16
+FIRST_DAY = "2024-01-01"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -54,6 +55,13 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scored(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    found = quality_classifier.classified(docs, trusted)
+    return found.select("row.*", "n_grams", "perplexity", "threshold", "kept")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged, name = quality_rules.ledger(docs)
@@ -76,6 +84,52 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _digits(column: Column, first: int) -> Column:
+    """A number from 0 to 255 that hangs on the value alone: two hexadecimal digits of its digest."""
+    digit = lambda k: F.instr(F.lit("0123456789abcdef"), F.substring(F.md5(column), k, 1)) - 1
+    return digit(first) * 16 + digit(first + 1)
+
+
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """Lists over time for the hosts, domains and path prefixes that the pages have.
+
+    About a quarter of the patterns are added on some day, half of those are taken off later, and half
+    of these put on again; the pattern's digest decides.
+    """
+    name = url_filters.host(F.col("url"))
+    parts = url_filters.segments(F.col("url"))
+    kinds = {"host": F.array(name), "domain": url_filters.domains(name), "prefix": url_filters.prefixes(name, parts)}
+    of_kind = lambda kind: lambda p: F.struct(F.lit(kind).alias("kind"), p.alias("pattern"))
+    patterns = pages.select(F.explode(F.concat(*(
+        F.transform(found, of_kind(kind)) for kind, found in kinds.items()))).alias("e")).select(
+        "e.*").filter("pattern <> ''").distinct()
+    said = F.concat_ws(" ", "kind", "pattern")
+    drawn = patterns.filter(_digits(said, 1) < 64).select(
+        F.when(_digits(said, 3) < 128, "malware").otherwise("spam").alias("list"), "kind", "pattern",
+        _digits(said, 5).alias("on"), (_digits(said, 7) % 100 + 1).alias("for"), _digits(said, 9).alias("fate"))
+    day = lambda n: F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int"))
+    event = lambda added, n: F.struct(F.lit(added).alias("added"), day(n).alias("at"))
+    on, off = F.col("on"), F.col("on") + F.col("for")
+    events = F.array(event(True, on), F.when(F.col("fate") < 128, event(False, off)),
+                     F.when(F.col("fate") < 64, event(True, off + 30)))
+    return drawn.select("list", "kind", "pattern", F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e")).select(
+        "list", "kind", "pattern", "e.*")
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    visited = F.concat_ws(" ", F.col("page_id").cast("string"), "url")
+    captures = pages.withColumn("fetched", F.date_add(
+        F.lit(FIRST_DAY).cast("date"), (_digits(visited, 1) + _digits(visited, 3)).cast("int")))
+    found = url_filters.judged(captures, dated_entries(pages))
+    return found.select(
+        "row.page_id", "host", F.col("row.fetched").cast("string").alias("fetched"),
+        (F.size("matches") > 0).alias("blocked"), F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct("matches.list")), ",").alias("lists"),
+        F.array_join(F.transform("matches", lambda m: F.concat_ws(
+            " ", m["list"], m["kind"], m["pattern"], m["since"].cast("string"))), "\n").alias("matched"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found, name = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -99,5 +153,6 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_chat_formatting, op2_suffix_array_dedup, op3_lm_scoring, op5_quality_rules, op6_simhash_near_dedup, op7_sharding,
+        op1_chat_formatting, op2_suffix_array_dedup, op3_lm_scoring, op4_quality_classifier,
+        op5_quality_rules, op6_simhash_near_dedup, op7_sharding, op8_url_filters,
         op9_benchmark_decontamination, op10_bpe)}
