@@ -239,24 +239,26 @@ def _cut(text: bytes, spans: list[dict]) -> str:
     return b"".join([*out, text[done:]]).decode()
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+def decontaminated(docs: DataFrame, items: DataFrame, text: str = "text", chars: str = "n_chars",
+                   **options) -> DataFrame:
     """Documents beyond the coverage limit go; of the others, the hit spans are cut out.
 
-    The columns stay as they were; only the text of a document with hits changes.
+    Only the text of a document with hits changes, and its length in `chars`, if that is a column.
     """
     found, name = contamination(docs, items, text, **options)
-    kept = found.filter(~is_contaminated(F.col(f"`{name}`")))
+    kept, names = found.filter(~is_contaminated(F.col(f"`{name}`"))), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = docs.columns.index(text)
         for batch in batches:
             spans = batch.column(name).field("spans").to_pylist()
-            columns = list(batch.columns[:-1])
+            columns = dict(zip(names, batch.columns))
             if any(spans):
-                old = batch.column(text)
-                new = [_cut(old[i].as_py().encode(), s) if s else old[i].as_py()
-                       for i, s in enumerate(spans)]
-                columns[place] = pa.array(new, old.type)
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+                old = columns[text].to_pylist()
+                new = [_cut(t.encode(), s) if s else t for t, s in zip(old, spans)]
+                columns[text] = pa.array(new, columns[text].type)
+                if chars in columns:
+                    counts = [len(t) if s else n for n, t, s in zip(columns[chars].to_pylist(), new, spans)]
+                    columns[chars] = pa.array(counts, columns[chars].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
     return kept.mapInArrow(run, docs.schema)

@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from terrace.llm import bpe, chat_format, decontaminate, lm_scoring, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, url_filters
 from terrace.llm.oracle import ORACLE  # noqa: F401
 
@@ -151,8 +152,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col(text), 256).alias("decoded_sha256"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table(spark, sf_dir, "documents")
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_chat_formatting, op2_suffix_array_dedup, op3_lm_scoring, op4_quality_classifier,
         op5_quality_rules, op6_simhash_near_dedup, op7_sharding, op8_url_filters,
-        op9_benchmark_decontamination, op10_bpe)}
+        op9_benchmark_decontamination, op10_bpe, pipeline)}
