@@ -33,7 +33,7 @@ judged AS (
     SELECT *, ((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT
                + 4 * (word_chars < 2 * n_words)::INT + 8 * (word_chars > 20 * n_words)::INT
                + 16 * (10 * n_symbols > 3 * n_words)::INT
-               + 32 * (100 * n_dup_lines > 30 * n_lines)::INT)::BIGINT AS failed_rules
+               + 32 * (2 * n_dup_lines > n_lines)::INT)::BIGINT AS failed_rules
     FROM measured)
 SELECT *, failed_rules & 3 <> 0 AS base_failed, failed_rules = 0 AS kept FROM judged
 """

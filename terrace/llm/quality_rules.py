@@ -51,7 +51,7 @@ RULES = (
     Rule("short_words", "word_chars < 2 * n_words"),
     Rule("long_words", "word_chars > 20 * n_words"),
     Rule("many_symbols", "10 * n_symbols > 3 * n_words"),
-    Rule("repeated_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("repeated_lines", "2 * n_dup_lines > n_lines"),
 )
 BIT = {rule.name: 1 << place for place, rule in enumerate(RULES)}
 BASE = ("few_words", "repeated_windows")
