@@ -60,9 +60,11 @@ def _range_of(boundaries: list[tuple]) -> Column:
 
 def _quantiles(rows: DataFrame, share: float, within: list[str], seed: int) -> list[tuple]:
     """Keys that part `rows` (or each group `within` them) into runs of about `share` bytes."""
-    drawn = rows.filter(F.rand(seed) < F.col("size") * (DRAWS / share))
-    place = F.row_number().over(W.partitionBy(*within).orderBy(*KEY))
-    cuts = drawn.withColumn("place", place).filter(F.col("place") % DRAWS == 0).select(*KEY)
+    chance = F.col("size") * (DRAWS / share)
+    drawn = rows.filter(F.rand(seed) < chance).withColumn("weight", F.greatest(chance, F.lit(1.0)))
+    upto = F.sum("weight").over(W.partitionBy(*within).orderBy(*KEY))
+    cuts = drawn.withColumn("upto", upto).filter(
+        F.floor(F.col("upto") / DRAWS) > F.floor((F.col("upto") - F.col("weight")) / DRAWS)).select(*KEY)
     return [tuple(r) for r in cuts.collect()]
 
 

@@ -197,9 +197,9 @@ def links(prints: DataFrame, column: str, radius: int = RADIUS, limit: int = TIL
             .mapInArrow(_compare(radius), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    radius: int = RADIUS, limit: int = TILE_ROWS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row; the smallest id names the component."""
+def _members(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int,
+             limit: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fingerprint) of every row; (fingerprint, root, component_id) of every fingerprint."""
     plain = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     marked, _ = fingerprinted(plain, shingle=shingle)
     marked = cut_lineage(marked.select("doc_id", "fingerprint"))
@@ -209,17 +209,29 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     known = classes.join(roots, classes["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "first_id", F.coalesce("root", "fingerprint").alias("root"))
     named = known.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_print = known.join(named, "root").select("fingerprint", "component_id")
-    return marked.join(by_print, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return marked, known.join(named, "root").select("fingerprint", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                    radius: int = RADIUS, limit: int = TILE_ROWS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row; the smallest id names the component."""
+    marked, prints = _members(docs, doc_id, text, shingle, radius, limit)
+    return marked.join(prints, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                  radius: int = RADIUS, limit: int = TILE_ROWS) -> DataFrame:
     """The row with the smallest id of each component, with the columns it came with.
 
-    Rows that repeat that id count as one document, of which one row stays.
+    Rows that repeat that id count as one document, of which one row stays. Of a component without
+    any id, one row stays.
     """
-    stay = near_duplicates(docs, doc_id, text, **options).select(
-        F.struct(F.col("component_id").alias(doc_id)).alias("__first")).distinct()
-    # A struct is never null, so rows with a null id meet as well.
-    keyed = docs.withColumn("__first", F.struct(F.col(f"`{doc_id}`")))
-    return keyed.join(stay, "__first").dropDuplicates(["__first"]).drop("__first")
+    _, prints = _members(docs, doc_id, text, shingle, radius, limit)
+    own, first = F.col(f"`{doc_id}`"), free_name(docs, "first_id")
+    stay = prints.filter("component_id IS NOT NULL").select(F.col("component_id").alias(first)).distinct()
+    named = docs.join(stay, own == F.col(first)).dropDuplicates([first]).select(docs.columns)
+    nameless, print_ = fingerprinted(docs.filter(own.isNull()), text, shingle=shingle)
+    alone = prints.filter("component_id IS NULL").select(
+        F.col("fingerprint").alias(first), F.col("root").alias(f"{first}_root"))
+    return named.unionByName(
+        nameless.join(alone, F.col(print_) == F.col(first)).dropDuplicates([f"{first}_root"]).select(docs.columns))
