@@ -20,15 +20,14 @@ def tolerant_cast(name: str, dtype: str) -> Column:
 def tolerant_date(name: str, fmt: str = ISO_DATE) -> Column:
     """Text in exactly the given format to a date, anything else to null.
 
-    The usual ISO form is checked by its separators and cast, which is several times faster
+    The usual ISO form is checked digit by digit and cast, which is several times faster
     than parsing with a pattern.
     """
     text = F.trim(F.col(name))
     if fmt != ISO_DATE:
         return F.try_to_date(F.nullif(text, F.lit("")), fmt)
-    iso = (F.length(text) == 10) & (F.substring(text, 5, 1) == "-") & (
-        F.substring(text, 8, 1) == "-")
-    return F.when(iso, text.try_cast("date"))
+    shape = F.translate(text, "0123456789", "9999999999")
+    return F.when(shape == "9999-99-99", text.try_cast("date"))
 
 
 # --- text ----------------------------------------------------------------------------------

@@ -1,8 +1,8 @@
 """Versioned dimensions, upserts, change classification, late arrivals, quarantine.
 
 Parquet has no MERGE, so each function returns the complete new content of a table; the
-caller writes it to a new folder and swaps. Joins are on keys that are unique on both sides
-by construction, so no join here can fan out.
+caller writes it to a new folder and swaps. The merge and the classification first take one row
+per key of either side, so their joins can't fan out.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
-from terrace.operators.rows import dedup_latest, drop_known, fresh_key, keep_known
+from terrace.operators.rows import dedup_latest, distinct_keys, drop_known, fresh_key
 from terrace.schemas import OPEN_END
 
 VERSION_COLUMNS = ["effective_date", "expiry_date", "is_current"]
@@ -45,20 +45,27 @@ def scd2_merge(
 ) -> DataFrame:
     """Apply one day's conformed rows to a versioned dimension.
 
-    New key: an open version. Changed tracked column: the open version ends the day before
-    and a new one opens. A second change on the same day replaces the open version. Equal or
-    absent: untouched. `incoming` has the attribute columns of `versions` without the version
-    columns and the surrogate key; it may repeat keys, of which the latest wins. Applying the
-    same input again changes nothing.
+    New key: an open version. Changed tracked column: the version valid on that day ends the
+    day before and a new one takes over the rest of its time. A second change on the same day
+    replaces the version. Equal or absent: untouched. `incoming` has the attribute columns of
+    `versions` without the version columns and the surrogate key; it may repeat keys, of which
+    the latest wins. Applying the same input again changes nothing.
 
-    Only open versions are joined, and those are unique per key; the closed ones, which
-    may be many for one key, pass straight through.
+    The day may lie before later versions, which stay as they are; before the first version of
+    a key, a closed version is put in front of it. So days may be loaded in any order and
+    versions of a key still follow each other without a gap.
+
+    Of each key one version is joined, the earliest that has not ended before the day; the
+    others, which may be many for one key, pass straight through.
     """
     since = F.lit(str(effective)).cast("date")
     attributes = [c for c in versions.columns if c not in {key, sk, *VERSION_COLUMNS}]
     newest = dedup_latest(incoming.select(key, *attributes), [key])
-    closed = versions.filter("is_current <> 'Y'")
-    opened = versions.filter("is_current = 'Y'").select(
+    nth = F.row_number().over(Window.partitionBy(key).orderBy("effective_date", sk))
+    ended_before = versions.filter(F.col("expiry_date") < since)
+    ahead = versions.filter(F.col("expiry_date") >= since).withColumn("_nth", nth)
+    passed = ended_before.unionByName(ahead.filter("_nth > 1").drop("_nth"))
+    opened = ahead.filter("_nth = 1").select(
         F.col(key), F.struct(*versions.columns).alias("old"),
         C.tracked_hash(tracked).alias("old_hash"))
     arriving = newest.select(
@@ -68,6 +75,7 @@ def scd2_merge(
     is_change = F.col("old").isNotNull() & F.col("new").isNotNull() & (
         F.col("old_hash") != F.col("new_hash"))
     same_day = F.col("old.effective_date") == since
+    earlier = F.col("old.effective_date") > since
 
     kept = F.struct(*(F.col(f"old.{c}").alias(c) for c in versions.columns))
     ended = F.struct(*(
@@ -78,21 +86,27 @@ def scd2_merge(
         key: F.col(key),
         sk: C.surrogate_key(F.col(key), since.cast("string")),
         "effective_date": since,
-        "expiry_date": _open_end(),
-        "is_current": F.lit("Y"),
     }
-    begun = F.struct(*(
-        started.get(c, F.col(f"new.{c}")).alias(c) for c in versions.columns))
+    until = {"expiry_date": F.coalesce(F.col("old.expiry_date"), _open_end()),
+             "is_current": F.coalesce(F.col("old.is_current"), F.lit("Y"))}
+    in_front = {"expiry_date": F.date_sub(F.col("old.effective_date"), 1), "is_current": F.lit("N")}
+
+    def version(end: dict[str, Column]) -> Column:
+        values = started | end
+        return F.struct(*(values.get(c, F.col(f"new.{c}")).alias(c) for c in versions.columns))
+
+    begun = version(until)
 
     merged = (
         opened.join(arriving, key, "full_outer")
         .select(F.explode(
             F.when(is_new | (is_change & same_day), F.array(begun))
+            .when(is_change & earlier, F.array(version(in_front), kept))
             .when(is_change, F.array(ended, begun))
             .otherwise(F.array(kept))).alias("v"))
         .select("v.*")
     )
-    return closed.unionByName(merged)
+    return passed.unionByName(merged)
 
 
 def scd1_upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -108,7 +122,8 @@ def classify_changes(
     """NEW, CHANGED, UNCHANGED or MISSING per key, and how many extra copies arrived."""
     copies = incoming.groupBy(key).agg(F.count("*").alias("copies"))
     newest = dedup_latest(incoming.select(key, *compared), [key]).join(copies, key)
-    before = existing.select(F.col(key), C.tracked_hash(compared).alias("old_hash"))
+    before = dedup_latest(existing.select(key, *compared), [key]).select(
+        F.col(key), C.tracked_hash(compared).alias("old_hash"))
     after = newest.select(F.col(key), "copies", C.tracked_hash(compared).alias("new_hash"))
     return before.join(after, key, "full_outer").select(
         key,
@@ -136,12 +151,14 @@ def append_unseen(
     """Rows of a batch to append: ids not yet stored, one row per id, however old the event.
 
     With `partition`, a column both sides have and `existing` is stored by (such as the month
-    of an immutable event date), only the partitions that the batch touches are read.
+    of an immutable event date), only the partitions that the batch touches are read: their
+    names, one for each month of the batch, are looked up first.
     """
     batch = dedup_latest(incoming, [key], newest_first)
     if partition is None:
         return drop_known(batch, existing, [key])
-    touched = keep_known(existing, incoming, [partition])
+    names = [r[0] for r in distinct_keys(incoming, partition).collect()]
+    touched = existing.filter(F.col(partition).isin([n for n in names if n is not None]))
     return drop_known(batch, touched, [key, partition]).select(*incoming.columns)
 
 

@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from terrace.functions import columns as C
 from terrace.operators.history import version_gaps
+from terrace.operators.rows import exact_quantiles
 from terrace.schemas import OPEN_END
 
 RESULT = (
@@ -365,15 +366,10 @@ def empty_groups(
 
 def iqr_outliers(
     df: DataFrame, table: str, column: str, max_share: float, factor: float = 1.5,
-    accuracy: int = 100_000, severity: str = "warn",
+    severity: str = "warn",
 ) -> DataFrame:
-    """Share of values beyond factor * IQR outside the quartiles.
-
-    Quartiles come from the mergeable sketch behind percentile_approx (rank error at most
-    1/accuracy of the rows, memory bounded by the accuracy).
-    """
-    quartiles = df.agg(
-        F.percentile_approx(F.col(column), [0.25, 0.75], accuracy).alias("q")).scalar()
+    """Share of values beyond factor * IQR outside the exact quartiles."""
+    quartiles = exact_quantiles(df, [], column, [0.25, 0.75]).select(F.array("q0", "q1")).scalar()
     value, q1, q3 = F.col(column).cast("double"), F.col("_q")[0], F.col("_q")[1]
     reach = F.lit(factor) * (q3.cast("double") - q1.cast("double"))
     outside = (value < q1.cast("double") - reach) | (value > q3.cast("double") + reach)
@@ -416,10 +412,7 @@ def schema_drift(df: DataFrame, table: str, expected: Sequence[str]) -> DataFram
 def audit(df: DataFrame, table: str, max_minutes: float = 5.0) -> DataFrame:
     """Audit columns filled, one load id, and a short load window."""
     columns = ["_ingestion_ts", "_source_file", "_batch_id"]
-    batches = metric_between(
-        "single_batch", "_batch_id",
-        # Two bounds instead of a distinct count: one batch means smallest = largest.
-        F.when(F.min("_batch_id") == F.max("_batch_id"), 1).otherwise(2), 1, 1)
+    batches = metric_between("single_batch", "_batch_id", F.count_distinct("_batch_id"), 1, 1)
     return apply_rules(df, table, [
         *(not_null(c) for c in columns), batches,
         load_window_within_minutes("_ingestion_ts", max_minutes)])

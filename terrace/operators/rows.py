@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.session import cut_lineage
+
 
 def row_digest(columns: Sequence[str]) -> Column:
     """64-bit digest of a row; nulls are marked, as the hash itself passes over them."""
@@ -94,6 +96,33 @@ def share_of_total(df: DataFrame, group: str) -> DataFrame:
     return grouped.withColumn("share_pct", F.round(F.col("n").cast("double") / total * 100, 6))
 
 
+def exact_quantiles(
+    df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float]
+) -> DataFrame:
+    """(groups..., q0, q1, ...): of each group, the smallest values that reach the given shares.
+
+    Equal values are counted first, in the map tasks. The counts are range-partitioned by group
+    and value, so a group may span many partitions; sums over partitions, of which there are
+    few, say how many rows come before each. Nulls are left out.
+    """
+    part, n = "_part", "_n"
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count("*").alias(n))
+    placed = cut_lineage(
+        counted.repartitionByRange(*groups, value).withColumn(part, F.spark_partition_id()))
+    whole = Window.partitionBy(*groups)
+    before = placed.groupBy(*groups, part).agg(F.sum(n).alias("_rows")).select(
+        *groups, part, F.sum("_rows").over(whole).alias("_all"),
+        (F.sum("_rows").over(whole.orderBy(part)) - F.col("_rows")).alias("_before"))
+    inside = F.sum(n).over(Window.partitionBy(*groups, part).orderBy(value))
+    # Null groups are groups as well, so the join compares structs, which are never null.
+    left = placed.select("*", inside.alias("_inside"), F.struct(*groups, part).alias("_key"))
+    right = before.select("_all", "_before", F.struct(*groups, part).alias("_key"))
+    reached = left.join(right, "_key").withColumn("_upto", F.col("_before") + F.col("_inside"))
+    return reached.groupBy(*groups).agg(*(
+        F.min(F.when(F.col("_upto") >= F.ceil(F.lit(p) * F.col("_all")), F.col(value))).alias(f"q{i}")
+        for i, p in enumerate(probabilities)))
+
+
 def changed_values(
     left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:

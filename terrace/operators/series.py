@@ -1,9 +1,8 @@
 """Row-ordered computations per series, safe for a series that holds most of the rows.
 
-A window over a series normally puts the series into one task. When the longest series
-exceeds `max_rows` (checked by a count per series), rows are range-partitioned by (series,
-order) instead, so chunks are balanced whatever the skew, and every chunk is given the few
-rows that precede it in its series. The results are the same either way.
+A window over a series would put the series into one task. Rows are range-partitioned by
+(series, order) instead, so chunks are balanced whatever the skew, and every chunk is given the
+few rows that precede it in its series. Adaptive execution sizes the chunks.
 """
 
 from __future__ import annotations
@@ -18,8 +17,6 @@ from pyspark.sql import functions as F
 from terrace.session import cut_lineage
 
 CHUNK, HALO = "_chunk", "_halo"
-# Rows one task sorts comfortably.
-MAX_SERIES_ROWS = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -29,21 +26,17 @@ class Series:
     df: DataFrame
     series: tuple[str, ...]
     order: tuple[str, ...]
-    chunked: bool
 
     @classmethod
     def of(
         cls, df: DataFrame, series: Sequence[str], order: Sequence[str],
-        max_rows: int = MAX_SERIES_ROWS,
+        chunks: int | None = None,
     ) -> Series:
-        sizes = df.groupBy(*series).agg(F.count("*").alias("n"))
-        longest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-        if (longest or 0) <= max_rows:
-            return cls(df, tuple(series), tuple(order), False)
-        ranged = df.repartitionByRange(math.ceil(total / max_rows) * 2, *series, *order)
+        by = [*series, *order]
+        ranged = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)
         # The chunk number must not change when a task is rerun, hence the stored copy.
         numbered = cut_lineage(ranged.withColumn(CHUNK, F.spark_partition_id()))
-        return cls(numbered, tuple(series), tuple(order), True)
+        return cls(numbered, tuple(series), tuple(order))
 
     def result(self) -> DataFrame:
         return self.df.drop(CHUNK)
@@ -52,9 +45,8 @@ class Series:
         return replace(self, df=self.df.withColumns(columns))
 
     def _window(self, descending: bool = False) -> WindowSpec:
-        keys = [*self.series, CHUNK] if self.chunked else self.series
         order = [F.col(c).desc() if descending else F.col(c).asc() for c in self.order]
-        return Window.partitionBy(*keys).orderBy(*order)
+        return Window.partitionBy(*self.series, CHUNK).orderBy(*order)
 
     def _with_preceding(self, back: int) -> DataFrame:
         """Rows plus, per chunk, copies of the `back` rows before its first one."""
@@ -74,24 +66,21 @@ class Series:
         self, back: int, build: Callable[[WindowSpec], Mapping[str, Column]]
     ) -> Series:
         """Add the columns `build(window)` returns; they may look `back` rows back at most."""
-        if not self.chunked:
-            return self.with_columns(build(self._window()))
         rows = self._with_preceding(back).withColumns(build(self._window()))
         return replace(self, df=rows.filter(~F.col(HALO)).drop(HALO))
 
     def fill(self, columns: Sequence[str], forward_only: bool = False) -> Series:
         """Next known value, else last known value, else 0 (or last known, else 0)."""
-        rows, ahead, behind = self.df, self._window(descending=True), self._window()
-        if self.chunked:
-            rows = rows.join(self._known_around(columns), [*self.series, CHUNK], "left")
+        ahead, behind = self._window(descending=True), self._window()
+        rows = self.df.join(self._known_around(columns), [*self.series, CHUNK], "left")
         filled = {}
         for c in columns:
             sources = [F.col(c)]
             if not forward_only:
                 sources.append(F.last(c, ignorenulls=True).over(ahead))
-                sources += [F.col(f"_after_{c}")] * self.chunked
+                sources.append(F.col(f"_after_{c}"))
             sources.append(F.last(c, ignorenulls=True).over(behind))
-            sources += [F.col(f"_before_{c}")] * self.chunked
+            sources.append(F.col(f"_before_{c}"))
             sources.append(F.lit(0).cast(self.df.schema[c].dataType))
             filled[c] = F.coalesce(*sources)
         return replace(self, df=rows.select(
@@ -202,7 +191,7 @@ def build_features(
     readings: DataFrame,
     series: Sequence[str] = ("series_id",),
     order: Sequence[str] = ("reading_ts", "reading_id"),
-    max_rows: int = MAX_SERIES_ROWS,
+    chunks: int | None = None,
     back_fill: bool = False,
 ) -> DataFrame:
     """69 features per reading: one sort per series serves all windows.
@@ -212,7 +201,7 @@ def build_features(
     """
     numeric = [n for n in feature_names() if n not in TIME_FEATURES]
     return (
-        Series.of(readings, series, order, max_rows)
+        Series.of(readings, series, order, chunks)
         .with_windows(3, _windowed)
         .with_columns({**interactions(), **cyclic_time(order[0])})
         .fill(numeric, forward_only=not back_fill)

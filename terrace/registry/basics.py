@@ -260,14 +260,9 @@ def agg_global_profile(t: Tables) -> DataFrame:
     quantile_disc(l_extendedprice, 0.5) AS median, quantile_disc(l_extendedprice, 0.75) AS q3
   FROM lineitem GROUP BY l_returnflag""")
 def agg_quantiles(t: Tables) -> DataFrame:
-    """Mergeable sketch: rank error at most 1/accuracy of the rows, bounded memory per group.
-
-    Exact for groups smaller than the accuracy, as in the checked tables.
-    """
-    q = F.percentile_approx("l_extendedprice", [0.25, 0.5, 0.75], 100_000)
-    return t.given("lineitem").groupBy("l_returnflag").agg(q.alias("q")).select(
-        "l_returnflag", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
-        F.col("q")[2].alias("q3"))
+    found = rows.exact_quantiles(
+        t.given("lineitem"), ["l_returnflag"], "l_extendedprice", [0.25, 0.5, 0.75])
+    return found.toDF("l_returnflag", "q1", "median", "q3")
 
 
 @query("agg_derived_ratio", f"""

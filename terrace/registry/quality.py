@@ -20,7 +20,6 @@ from terrace.schemas import (ACCOUNT_TYPES, BRONZE_COLUMNS, CHANNELS, EMAIL_PATT
                              LOAN_STATUSES, LOAN_TYPES, PAN_PATTERN, PHONE_PATTERN, SEGMENTS,
                              TRANSACTION_STATUSES, TRANSACTION_TYPES, TWELVE_DIGITS, table_schema)
 from terrace.sources import given
-from terrace.sources.files import add_audit
 
 
 def _row(check: str, table: str, column: str, metric: str, threshold: str, failed: str,
@@ -581,18 +580,28 @@ def null_rate(t: Tables) -> DataFrame:
 # --- audit, transformations, history, lineage ----------------------------------------------
 
 
+# A load for every region, ten minutes after the one before, and one of them without a file name.
+_LOADS = """(SELECT 'b' || r_regionkey AS _batch_id,
+  CASE WHEN r_regionkey = 3 THEN NULL ELSE r_name || '.csv' END AS _source_file,
+  timestamp '2024-01-01' + to_minutes(cast(10 * r_regionkey as int)) AS _ingestion_ts
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
 @query("dq_audit", _all(
-    *(_row("not_null", "bronze_customers", c, "0 * count(*)", "= 0", "0", "m = 0", "b_customers_day2")
+    *(_none("not_null", "bronze_customers", c, f"{c} IS NULL", _LOADS)
       for c in ("_ingestion_ts", "_source_file", "_batch_id")),
     _within("single_batch", "bronze_customers", "_batch_id",
-            "cast(2 + 0 * count(*) as double)", 1, 1, "b_customers_day2"),
+            "cast(count(DISTINCT _batch_id) as double)", 1, 1, _LOADS),
     _within("load_window_minutes", "bronze_customers", "_ingestion_ts",
-            "cast(10 + 0 * count(*) as double)", 0, 5.0, "b_customers_day2")))
+            "date_diff('minute', min(_ingestion_ts), max(_ingestion_ts))::double", 0, 5.0, _LOADS)))
 def audit(t: Tables) -> DataFrame:
-    # Two loads ten minutes apart: the single-batch and load-window checks must notice.
-    first = add_audit(t.raw("customers"), "b1", "day1.csv", datetime(2024, 1, 1, 0, 0))
-    second = add_audit(t.raw("customers_day2"), "b2", "day2.csv", datetime(2024, 1, 1, 0, 10))
-    return Q.audit(first.unionByName(second), "bronze_customers")
+    places = t.given("nation").join(t.given("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    region = F.col("r_regionkey")
+    loads = t.given("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.concat(F.lit("b"), region.cast("string")).alias("_batch_id"),
+        F.when(region != 3, F.concat("r_name", F.lit(".csv"))).alias("_source_file"),
+        F.timestamp_seconds(1704067200 + 600 * region).alias("_ingestion_ts"))
+    return Q.audit(loads, "bronze_customers")
 
 
 @query("dq_transform_accuracy", _all(

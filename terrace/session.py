@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +35,8 @@ def build_session(app: str = "terrace", master: str | None = None, **conf: str)
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local-mode session without that setting gets a folder of its own.
+    A session without that setting, as in tests, gets one beside its warehouse, which the session
+    names as well; a warehouse without a scheme must be reachable by all executors.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -46,9 +46,8 @@ def shared_root(spark: SparkSession) -> str:
         return named.rstrip("/")
     current = sc.getCheckpointDir()
     if current is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="terrace-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        sc.setCheckpointDir(f"{warehouse}/_terrace-{uuid.uuid4().hex}")
         current = sc.getCheckpointDir()
     return current.rstrip("/")
 

@@ -35,10 +35,9 @@ def read_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame
     return spark.readStream.schema(schema).parquet(path)
 
 
-def file_block(parts: int = 64) -> Column:
-    """Number of the file block a row was read from, folded into `parts` values."""
-    return F.pmod(
-        F.xxhash64("_metadata.file_path", "_metadata.file_block_start"), F.lit(parts))
+def file_block() -> Column:
+    """Number of the file block a row was read from: as many values as there are blocks."""
+    return F.xxhash64("_metadata.file_path", "_metadata.file_block_start")
 
 
 def drop_resent(

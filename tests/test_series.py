@@ -51,10 +51,10 @@ def expected(readings, back_fill):
     return pd.concat(frames).sort_values(["series_id", "reading_id"]).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("max_rows", [10_000, 30, 3])
+@pytest.mark.parametrize("chunks", [None, 1, 8, 40])
 @pytest.mark.parametrize("back_fill", [False, True])
-def test_features_equal_pandas_with_and_without_chunks(readings, max_rows, back_fill):
-    built = series.build_features(readings, max_rows=max_rows, back_fill=back_fill)
+def test_features_equal_pandas_in_any_number_of_chunks(readings, chunks, back_fill):
+    built = series.build_features(readings, chunks=chunks, back_fill=back_fill)
     assert set(series.feature_names()) <= set(built.columns) and len(series.feature_names()) == 69
     want = expected(readings, back_fill)
     got = built.select(*want.columns).toPandas().sort_values(
@@ -63,9 +63,9 @@ def test_features_equal_pandas_with_and_without_chunks(readings, max_rows, back_
 
 
 def test_a_dominant_series_is_split_over_tasks(readings):
-    split = series.Series.of(readings, ["series_id"], ["reading_ts", "reading_id"], max_rows=30)
+    split = series.Series.of(readings, ["series_id"], ["reading_ts", "reading_id"], chunks=8)
     sizes = [r["count"] for r in split.df.filter("series_id = 1").groupBy("_chunk").count().collect()]
-    assert split.chunked and len(sizes) > 5 and max(sizes) <= 90
+    assert len(sizes) > 5 and max(sizes) <= 90
 
 
 def test_decision(frame):

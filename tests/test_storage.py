@@ -1,7 +1,6 @@
 import json
 from datetime import datetime
 
-import pytest
 from pyspark.sql import functions as F
 
 from terrace import session
@@ -166,15 +165,17 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.new_folder(spark, "x") != session.new_folder(spark, "x")
 
 
-def test_no_folder_of_its_own_on_a_cluster():
+def test_folder_beside_the_warehouse_without_a_setting():
     class Context:
-        master = "spark://host:7077"
+        folder = None
 
         def getCheckpointDir(self):
-            return None
+            return self.folder
+
+        def setCheckpointDir(self, folder):
+            self.folder = folder
 
     class Session:
         sparkContext = Context()
-        conf = {}
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_root(Session())
+        conf = {"spark.sql.warehouse.dir": "hdfs:///lake/warehouse/"}
+    assert session.shared_root(Session()).startswith("hdfs:///lake/warehouse/_terrace-")
