@@ -12,10 +12,14 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from terrace.operators import history
 from terrace.plans import gold, silver
+from terrace.schemas import table_schema
+from terrace.session import cut_lineage
 from terrace.sources import files
-from terrace.sources.tables import write_table
+from terrace.sources.tables import append_by_month, write_table
 
 
 @dataclass(frozen=True)
@@ -49,11 +53,47 @@ def source_to_bronze(
     return batch, written
 
 
+#: Transactions that break one of these go to quarantine instead of into the fact.
+FACT_RULES = {
+    "no id": "transaction_id IS NULL OR trim(transaction_id) = ''",
+    "no amount": "amount IS NULL", "no date": "transaction_date IS NULL"}
+MONTH = "transaction_month"
+
+
+def _facts(spark: SparkSession, path: str) -> DataFrame:
+    """The stored transactions, with the month that they are stored by."""
+    schema = table_schema("fact_transaction").add(MONTH, "string")
+    return spark.read.schema(schema).parquet(path)
+
+
+def _append_facts(
+    spark: SparkSession, incoming: DataFrame, path: str, rejected: str, first: bool
+) -> dict[str, int]:
+    """Store valid transactions that are not stored yet, one row per id, and set aside the others."""
+    month = F.date_format(F.trunc("transaction_date", "month"), "yyyy-MM")
+    rules = {name: F.expr(rule) for name, rule in FACT_RULES.items()}
+    valid, broken = history.quarantine(cut_lineage(incoming), rules)
+    monthly = valid.withColumn(MONTH, month)
+    newest = [F.col("transaction_date").desc()]
+    fresh = (history.dedup_latest(monthly, ["transaction_id"], newest) if first else
+             history.append_unseen(_facts(spark, path), monthly, "transaction_id", MONTH, newest))
+    fresh = cut_lineage(fresh)  # what is to be added must not be read while it is being added
+    return {"fact_transaction": append_by_month(fresh.drop(MONTH), path, "transaction_date", MONTH),
+            "quarantine_transaction": write_table(broken, rejected)}
+
+
 def bronze_to_silver(
     spark: SparkSession, bronze: str, target: str, as_of: date | str,
     effective: date | str | None = None, loaded_at: datetime | None = None,
+    facts: str | None = None, years: tuple[int, int] | None = None,
 ) -> dict[str, int]:
-    """Dimensions first; the facts look keys up in the stored dimensions."""
+    """The first load. Dimensions first; the facts look keys up in the stored dimensions.
+
+    `facts` is the folder of the transactions, which later loads add to; by default it lies in
+    `target`. `years` bounds the calendar; without it, the transactions do.
+    """
+    facts = facts or f"{target}/fact_transaction"
+
     def raw(entity: str) -> DataFrame:
         return files.scan_parquet(spark, bronze, f"bronze_{entity}")
 
@@ -68,21 +108,64 @@ def bronze_to_silver(
     accounts = store("dim_account", silver.dim_account(raw("accounts"), loaded_at))
     branches = store("dim_branch", silver.dim_branch(raw("branches"), loaded_at))
     products = store("dim_product", silver.dim_product(raw("product_types"), loaded_at))
-    facts = store("fact_transaction", silver.fact_transaction(
-        raw("transactions"), accounts, customers, branches, loaded_at))
+    written |= _append_facts(spark, silver.fact_transaction(
+        raw("transactions"), accounts, customers, branches, loaded_at), facts,
+        f"{target}/quarantine_transaction", first=True)
     store("fact_loan", silver.fact_loan(raw("loans"), customers, branches, products, loaded_at))
-    store("dim_date", silver.dim_date(silver.date_bounds(facts, "transaction_date")))
+    bounds = silver.whole_years(spark, *years) if years else silver.date_bounds(
+        _facts(spark, facts), "transaction_date")
+    store("dim_date", silver.dim_date(bounds))
+    return written
+
+
+def update_silver(
+    spark: SparkSession, bronze: str, current: str, target: str, facts: str,
+    as_of: date | str, effective: date | str, loaded_at: datetime | None = None,
+) -> dict[str, int]:
+    """One more load onto the layer stored in `current`; the new dimensions and loans go to `target`.
+
+    `bronze` holds the raw tables of this load. Customers are merged into their versions, valid from
+    `effective`; accounts, branches and products are upserted; of loans the latest state wins.
+    Transactions are added to `facts` where their ids are not there yet, in the months that they
+    touch. Loading the same again changes nothing.
+    """
+    def raw(entity: str) -> DataFrame:
+        return files.scan_parquet(spark, bronze, f"bronze_{entity}")
+
+    written: dict[str, int] = {}
+
+    def store(table: str, df: DataFrame) -> DataFrame:
+        written[table] = write_table(df, f"{target}/{table}")
+        return files.scan_parquet(spark, target, table)
+
+    def upsert(table: str, incoming: DataFrame, key: str) -> DataFrame:
+        known = files.scan_parquet(spark, current, table)
+        return store(table, history.scd1_upsert(known, incoming, [key]))
+
+    customers = store("dim_customer", silver.merge_dim_customer(
+        files.scan_parquet(spark, current, "dim_customer"), raw("customers"), as_of, effective,
+        loaded_at))
+    accounts = upsert("dim_account", silver.dim_account(raw("accounts"), loaded_at), "account_id")
+    branches = upsert("dim_branch", silver.dim_branch(raw("branches"), loaded_at), "branch_id")
+    products = upsert("dim_product", silver.dim_product(raw("product_types"), loaded_at), "product_id")
+    written |= _append_facts(spark, silver.fact_transaction(
+        raw("transactions"), accounts, customers, branches, loaded_at), facts,
+        f"{target}/quarantine_transaction", first=False)
+    upsert("fact_loan", silver.fact_loan(raw("loans"), customers, branches, products, loaded_at), "loan_id")
+    store("dim_date", files.scan_parquet(spark, current, "dim_date"))
     return written
 
 
 def silver_to_gold(
-    spark: SparkSession, source: str, target: str, loaded_at: datetime | None = None
+    spark: SparkSession, source: str, target: str, loaded_at: datetime | None = None,
+    facts: str | None = None,
 ) -> dict[str, int]:
     def table(name: str) -> DataFrame:
         return files.scan_parquet(spark, source, name)
 
     customers, accounts, branches = map(table, ("dim_customer", "dim_account", "dim_branch"))
-    transactions, loans = map(table, ("fact_transaction", "fact_loan"))
+    transactions = _facts(spark, facts or f"{source}/fact_transaction").drop(MONTH)
+    loans = table("fact_loan")
     marts: Mapping[str, DataFrame] = {
         "gold_customer_360": gold.customer_360(
             customers, accounts, transactions, loans, loaded_at),

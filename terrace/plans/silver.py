@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
@@ -78,6 +78,12 @@ def dim_product(products: DataFrame, loaded_at: datetime | None = None) -> DataF
     return _keyed_dimension(products, "dim_product", "product_id", "product_sk", loaded_at)
 
 
+def whole_years(spark: SparkSession, first: int, last: int) -> DataFrame:
+    """Bounds of a calendar that doesn't hang on the days that happen to be in the facts."""
+    days = f"date '{first:04d}-01-01' AS first_day", f"date '{last:04d}-12-31' AS last_day"
+    return spark.range(1).selectExpr(*days)
+
+
 def dim_date(bounds: DataFrame) -> DataFrame:
     """One row per day of every whole year touched by `bounds` (one row: first_day, last_day)."""
     day = F.col("full_date")

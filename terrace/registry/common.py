@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
+from terrace.functions import columns as C
 from terrace.plans import gold, silver
 from terrace.registry.layers_sql import AS_OF, FIRST_DAY, SECOND_DAY, with_layers
 from terrace.sources import given
@@ -60,8 +61,12 @@ class Tables:
 
     @cached_property
     def typed_transactions(self) -> DataFrame:
-        """For marts that need no resolved key, and so no join of the largest table."""
-        return silver.typed_transactions(self.raw("transactions"))
+        """For marts and checks that need no resolved key, and so no join of the largest table."""
+        return self.typed_from("transactions")
+
+    def typed_from(self, view: str) -> DataFrame:
+        return silver.typed_transactions(self.raw(view)).withColumn(
+            "date_sk", C.date_key(F.col("transaction_date")))
 
     @cached_property
     def typed_loans(self) -> DataFrame:

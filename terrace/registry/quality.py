@@ -108,7 +108,7 @@ _MIN_ROWS = {"dim_customer": ("s_dim_customer", 1), "dim_account": ("s_dim_accou
     for table, (source, low) in _MIN_ROWS.items())))
 def min_rows(t: Tables) -> DataFrame:
     built = {"dim_customer": t.customers, "dim_account": t.accounts,
-             "fact_transaction": t.transactions, "fact_loan": t.loans, "dim_date": t.calendar,
+             "fact_transaction": t.typed_transactions, "fact_loan": t.typed_loans, "dim_date": t.calendar,
              "gold_loan_portfolio": t.loan_portfolio}
     return Q.combine([Q.apply_rules(df, name, [Q.min_rows(_MIN_ROWS[name][1])])
                       for name, df in built.items()])
@@ -128,7 +128,7 @@ def _unique_sql(table: str, keys: str, source: str) -> str:
     _unique_sql("bronze_customers", "customer_id", "b_customers_day2")))
 def unique(t: Tables) -> DataFrame:
     return Q.combine([
-        Q.unique(t.transactions, "fact_transaction", ["transaction_id"]),
+        Q.unique(t.typed_transactions, "fact_transaction", ["transaction_id"]),
         Q.unique(t.versions, "dim_customer", ["customer_id", "effective_date"]),
         Q.unique(t.accounts, "dim_account", ["account_id"]),
         Q.unique(t.accounts, "dim_account", ["account_number"]),
@@ -160,7 +160,7 @@ def not_null(t: Tables) -> DataFrame:
 def referential(t: Tables) -> DataFrame:
     return Q.combine([
         Q.referential(t.transactions, t.accounts, "account_sk", "account_sk", "fact_transaction"),
-        Q.referential(t.transactions, t.calendar, "date_sk", "date_sk", "fact_transaction"),
+        Q.referential(t.typed_transactions, t.calendar, "date_sk", "date_sk", "fact_transaction"),
         Q.referential(t.loans, t.products, "product_sk", "product_sk", "fact_loan"),
         Q.referential(t.accounts, t.customers, "customer_id", "customer_id", "dim_account"),
         Q.referential(t.raw("transactions_dirty"), t.raw("accounts"), "account_id", "account_id",
@@ -222,7 +222,7 @@ def schema_drift(t: Tables) -> DataFrame:
           "s_fact_loan")))
 def value_range(t: Tables) -> DataFrame:
     return Q.combine([
-        Q.apply_rules(t.transactions_from("transactions_dirty"), "fact_transaction", [
+        Q.apply_rules(t.typed_from("transactions_dirty"), "fact_transaction", [
             Q.in_range("amount", 0), Q.in_range("date_sk", 19950101, 20271231)]),
         Q.apply_rules(t.loans, "fact_loan", [
             Q.in_range("principal_amount", 0, strict_low=True), Q.in_range("interest_rate", 0, 50),
@@ -245,7 +245,7 @@ _DOMAINS = {
     _none("domain", table, c, f"{c} NOT IN ({_quoted(values)})", source)
     for table, (source, columns) in _DOMAINS.items() for c, values in columns.items())))
 def domain(t: Tables) -> DataFrame:
-    built = {"fact_transaction": t.transactions, "fact_loan": t.loans, "dim_account": t.accounts,
+    built = {"fact_transaction": t.typed_transactions, "fact_loan": t.typed_loans, "dim_account": t.accounts,
              "dim_customer": t.customers, "gold_customer_360": t.customer_360,
              "bronze_transactions": t.raw("transactions")}
     return Q.combine([
@@ -370,9 +370,9 @@ def sum_reconcile(t: Tables) -> DataFrame:
     clean, dirty = t.raw("transactions"), t.raw("transactions_dirty")
     parsed = F.sum(C.tolerant_cast("amount", "decimal(15,2)"))
     return Q.combine([
-        Q.equal_measure(clean, t.transactions, parsed, F.sum("amount"), "sum_match",
+        Q.equal_measure(clean, t.typed_transactions, parsed, F.sum("amount"), "sum_match",
                         "bronze/fact_transaction", "amount", 0.01),
-        Q.equal_measure(t.transactions, t.daily_summary, F.sum("amount"), F.sum("total_amount"),
+        Q.equal_measure(t.typed_transactions, t.daily_summary, F.sum("amount"), F.sum("total_amount"),
                         "sum_match", "fact_transaction/gold_daily", "amount", 0.01),
         Q.equal_measure(clean, dirty, parsed, parsed, "sum_match", "clean/dirty", "amount",
                         0.001, relative=True)])
@@ -392,11 +392,11 @@ def sum_reconcile(t: Tables) -> DataFrame:
 def agg_reconcile(t: Tables) -> DataFrame:
     defaults = F.count_if(F.col("status") == "DEFAULT")
     return Q.combine([
-        Q.equal_measure(t.daily_summary, t.transactions, F.sum("total_count"), F.count("*"),
+        Q.equal_measure(t.daily_summary, t.typed_transactions, F.sum("total_count"), F.count("*"),
                         "detail_match", "gold_daily/fact_transaction", "total_count"),
-        Q.equal_measure(t.loan_portfolio, t.loans, F.sum("total_loans"), F.count("*"),
+        Q.equal_measure(t.loan_portfolio, t.typed_loans, F.sum("total_loans"), F.count("*"),
                         "detail_match", "gold_portfolio/fact_loan", "total_loans"),
-        Q.equal_measure(t.loan_portfolio, t.loans, F.sum("defaulted_loans"), defaults,
+        Q.equal_measure(t.loan_portfolio, t.typed_loans, F.sum("defaulted_loans"), defaults,
                         "npa_match", "gold_portfolio/fact_loan", "defaulted_loans"),
         Q.apply_rules(t.loan_portfolio, "gold_loan_portfolio", [
             Q.implies("npa_shown", "npa_ratio", F.col("defaulted_loans") > 0,
@@ -437,7 +437,7 @@ def key_coverage(t: Tables) -> DataFrame:
 def date_gaps(t: Tables) -> DataFrame:
     workdays = t.calendar.filter("is_weekend = 'N'")
     return Q.combine([
-        Q.calendar_complete(df, "full_date", t.transactions, "transaction_date", table)
+        Q.calendar_complete(df, "full_date", t.typed_transactions, "transaction_date", table)
         for table, df in (("dim_date", t.calendar), ("workdays", workdays))])
 
 
@@ -524,7 +524,7 @@ _PROFILE_SQL = {"min": "min(cast(amount as double))", "max": "max(cast(amount as
     _within(f"profile_{m}", "fact_transaction", "amount", _PROFILE_SQL[m], low, high,
             "s_fact_transaction") for m, (low, high) in _PROFILE.items())) + ")")
 def profile_bounds(t: Tables) -> DataFrame:
-    checked = Q.apply_rules(t.transactions, "fact_transaction",
+    checked = Q.apply_rules(t.typed_transactions, "fact_transaction",
                             Q.profile_bounds("amount", _PROFILE))
     return checked.withColumn("metric", F.round("metric", 4))
 
@@ -543,10 +543,10 @@ _SHARES = {"transaction_type": {"CREDIT": (0.3, 0.7), "DEBIT": (0.3, 0.7)},
          "CASE WHEN count(DISTINCT loan_type) >= 7 THEN 0 ELSE 1 END", "m >= 7", "s_fact_loan")))
 def distribution(t: Tables) -> DataFrame:
     return Q.combine([
-        *(Q.share_bounds(t.transactions, "fact_transaction", c, bounds)
+        *(Q.share_bounds(t.typed_transactions, "fact_transaction", c, bounds)
           for c, bounds in _SHARES.items()),
         Q.min_distinct(t.customers, "dim_customer", "city", 10),
-        Q.min_distinct(t.loans, "fact_loan", "loan_type", 7)])
+        Q.min_distinct(t.typed_loans, "fact_loan", "loan_type", 7)])
 
 
 def _iqr_sql(column: str, source: str, table: str, limit: float) -> str:
@@ -562,7 +562,7 @@ def _iqr_sql(column: str, source: str, table: str, limit: float) -> str:
     _iqr_sql("value", "events", "events", 0.01)))
 def iqr_outliers(t: Tables) -> DataFrame:
     return Q.combine([
-        Q.iqr_outliers(t.transactions, "fact_transaction", "amount", 0.05),
+        Q.iqr_outliers(t.typed_transactions, "fact_transaction", "amount", 0.05),
         Q.iqr_outliers(t.given("events"), "events", "value", 0.01)])
 
 
@@ -572,7 +572,7 @@ def iqr_outliers(t: Tables) -> DataFrame:
           "s_fact_dirty"),
     _rate("zero_amount", "fact_transaction", "amount", "amount = 0", 0.05, "s_fact_dirty")))
 def null_rate(t: Tables) -> DataFrame:
-    return Q.apply_rules(t.transactions_from("transactions_dirty"), "fact_transaction", [
+    return Q.apply_rules(t.typed_from("transactions_dirty"), "fact_transaction", [
         Q.null_rate("amount", 0.05), Q.null_rate("transaction_date", 0.001),
         Q.rate_at_most("zero_amount", "amount", F.col("amount") == 0, 0.05)])
 

@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.plans.jobs import Landing, source_to_bronze
+from terrace.plans.jobs import Landing, bronze_to_silver, source_to_bronze, update_silver
 from terrace.registry.common import Tables, query
-from terrace.registry.layers_sql import columns_of
+from terrace.registry.layers_sql import AS_OF, FIRST_DAY, SECOND_DAY, columns_of
 from terrace.schemas import BRONZE_COLUMNS
 from terrace.session import new_folder
 from terrace.sources import files, tables
-from terrace.sources.given import TRANSACTION_CUTOFF
+from terrace.sources.given import FIRST_LOAD, TRANSACTION_CUTOFF
 from terrace.streaming import streams
 
 
@@ -184,6 +184,32 @@ def job_source_to_bronze(t: Tables) -> DataFrame:
     return merged
 
 
+@query("job_incremental_silver", f"""
+  SELECT {columns_of('dim_customer')},
+    (SELECT count(DISTINCT transaction_id) FROM b_transactions) AS n_facts,
+    (SELECT count(DISTINCT transaction_id) FROM b_transactions) AS n_fact_ids
+  FROM v_merged""")
+def job_incremental_silver(t: Tables) -> DataFrame:
+    """Day one, day two with all transactions sent again and late ones, and day two once more."""
+    root = new_folder(t.spark, "daily")
+    facts = f"{root}/fact_transaction"
+    first = {"customers": t.raw("customers").filter(F.col("customer_since") < FIRST_LOAD),
+             "transactions": t.raw("transactions").filter(
+                 F.col("transaction_date") < TRANSACTION_CUTOFF)}
+    second = {"customers": t.raw("customers_day2")}
+    for day, changed in (("one", first), ("two", second)):
+        for entity in BRONZE_COLUMNS:
+            tables.write_table(changed.get(entity, t.raw(entity)), f"{root}/{day}/bronze_{entity}")
+    bronze_to_silver(t.spark, f"{root}/one", f"{root}/silver1", AS_OF, FIRST_DAY, facts=facts)
+    for known, new in (("silver1", "silver2"), ("silver2", "silver3")):
+        update_silver(t.spark, f"{root}/two", f"{root}/{known}", f"{root}/{new}", facts, AS_OF, SECOND_DAY)
+    stored = t.spark.read.parquet(facts)
+    customers = files.scan_parquet(t.spark, f"{root}/silver3", "dim_customer")
+    return customers.withColumns({
+        "n_facts": stored.select(F.count("*")).scalar(),
+        "n_fact_ids": stored.select(F.count_distinct("transaction_id")).scalar()})
+
+
 @query("ingest_incremental_stream", f"""
   SELECT {_text_columns('transactions')},
     CASE WHEN transaction_date >= '{TRANSACTION_CUTOFF}' THEN 'second' ELSE 'first' END AS _batch_id

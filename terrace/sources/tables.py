@@ -24,6 +24,8 @@ def write_by_month(df: DataFrame, path: str, day: str, month: str = "transaction
     The rebalance hint gathers a month into few files and splits a month that is much larger
     than the rest, so neither thousands of small files nor one huge task results.
     """
+    if df.isEmpty():  # an empty write reports no count
+        return 0
     seen = Observation()
     keyed = df.withColumn(month, F.date_format(F.trunc(day, "month"), "yyyy-MM"))
     (keyed.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", month)
@@ -32,6 +34,17 @@ def write_by_month(df: DataFrame, path: str, day: str, month: str = "transaction
     return int(seen.get["rows"])
 
 
+def append_by_month(df: DataFrame, path: str, day: str, month: str = "transaction_month") -> int:
+    """Add rows to a table stored by month; what is there stays as it is."""
+    if df.isEmpty():  # an empty write reports no count
+        return 0
+    seen = Observation()
+    keyed = df.withColumn(month, F.date_format(F.trunc(day, "month"), "yyyy-MM"))
+    (keyed.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", month)
+     .write.mode("append").partitionBy(month).parquet(path))
+    return int(seen.get["rows"])
+
+
 def create_table(spark: SparkSession, name: str, table: str, location: str | None = None) -> None:
     """CREATE TABLE IF NOT EXISTS from the contract of `table`."""
     columns = ", ".join(
