@@ -91,7 +91,7 @@ def parquet_append(t: Tables) -> DataFrame:
 def partitioned_dynamic(t: Tables) -> DataFrame:
     """Months from the cutoff on are replaced by rows with doubled amounts; others stay."""
     path = new_folder(t.spark, "sink")
-    all_rows = t.transactions.select("transaction_id", "transaction_date", "amount")
+    all_rows = t.typed_transactions.select("transaction_id", "transaction_date", "amount")
     tables.write_by_month(all_rows, path, "transaction_date")
     newer = all_rows.filter(F.col("transaction_date") >= F.lit(TRANSACTION_CUTOFF).cast("date"))
     tables.write_by_month(
