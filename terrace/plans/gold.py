@@ -135,15 +135,24 @@ def branch_performance(
     loans: DataFrame,
     loaded_at: datetime | None = None,
 ) -> DataFrame:
-    """Branch by month. Account and loan totals are per branch and repeat on each month."""
-    monthly = (
-        transactions.groupBy(
-            "branch_sk", C.month_start(F.col("transaction_date")).alias("report_month"))
-        .agg(
-            _sum_if(_is("transaction_type", "CREDIT"), "amount").alias("total_deposits"),
-            _sum_if(_is("transaction_type", "DEBIT"), "amount").alias("total_withdrawals"))
-        .withColumn("net_flow", F.col("total_deposits") - F.col("total_withdrawals"))
-    )
+    """Branch by month. Account and loan totals are per branch and repeat on each month.
+
+    Transactions and loans may come without a resolved branch: they are then added up by account
+    and month, or by branch id, before the branch is looked up.
+    """
+    flows = [_sum_if(_is("transaction_type", "CREDIT"), "amount").alias("total_deposits"),
+             _sum_if(_is("transaction_type", "DEBIT"), "amount").alias("total_withdrawals")]
+    resolved = "branch_sk" in transactions.columns
+    monthly = transactions.groupBy(
+        "branch_sk" if resolved else "account_id",
+        C.month_start(F.col("transaction_date")).alias("report_month")).agg(*flows)
+    keys = branches.select("branch_id", "branch_sk")
+    if not resolved:
+        route = accounts.select("account_id", "branch_id").join(keys, "branch_id", "left")
+        monthly = monthly.join(route, "account_id", "left").groupBy("branch_sk", "report_month").agg(
+            F.sum("total_deposits").alias("total_deposits"),
+            F.sum("total_withdrawals").alias("total_withdrawals"))
+    monthly = monthly.withColumn("net_flow", F.col("total_deposits") - F.col("total_withdrawals"))
     # Rows per (branch, customer) first, so that a branch holding a third of all accounts is
     # counted in parts.
     per_branch = (
@@ -151,14 +160,15 @@ def branch_performance(
         .groupBy("branch_id")
         .agg(F.count("customer_id").alias("total_customers"), F.sum("n").alias("total_accounts"))
     )
-    lending = loans.groupBy("branch_sk").agg(
+    lent_by = "branch_sk" if "branch_sk" in loans.columns else "branch_id"
+    lending = loans.groupBy(lent_by).agg(
         F.sum("principal_amount").alias("total_loans_disbursed"),
         F.count_if(_is("status", "ACTIVE")).alias("active_loans"),
         _sum_if(_is("status", "DEFAULT"), "outstanding_amount").alias("npa_amount"))
     profile = (
         branches.select("branch_sk", "branch_id", "branch_name", "city")
         .join(per_branch, "branch_id", "left")
-        .join(lending, "branch_sk", "left")
+        .join(lending, lent_by, "left")
     )
     assembled = monthly.join(profile, "branch_sk", "left").fillna(0)
     return _finish(assembled, "gold_branch_performance", loaded_at)

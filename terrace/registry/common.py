@@ -93,7 +93,7 @@ class Tables:
     @cached_property
     def branch_performance(self) -> DataFrame:
         return gold.branch_performance(
-            self.branches, self.accounts, self.transactions, self.loans)
+            self.branches, self.accounts, self.typed_transactions, self.typed_loans)
 
     @cached_property
     def daily_summary(self) -> DataFrame:

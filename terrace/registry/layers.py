@@ -82,8 +82,8 @@ def scd2_gap_check(t: Tables) -> DataFrame:
     LEFT JOIN v_merged v ON v.customer_id = a.customer_id
       AND t.transaction_date BETWEEN v.effective_date AND v.expiry_date""")
 def join_scd2_asof(t: Tables) -> DataFrame:
-    facts = t.transactions.select("transaction_id", "account_sk", "transaction_date").join(
-        t.accounts.select("account_sk", "customer_id"), "account_sk", "left").drop("account_sk")
+    facts = t.typed_transactions.select("transaction_id", "account_id", "transaction_date").join(
+        t.accounts.select("account_id", "customer_id"), "account_id", "left").drop("account_id")
     versions = t.versions.withColumnsRenamed({"customer_sk": "version_sk", "city": "version_city"})
     return history.version_as_of(
         facts, versions, "customer_id", "transaction_date", ["version_sk", "version_city"])
