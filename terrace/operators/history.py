@@ -152,14 +152,15 @@ def append_unseen(
 
     With `partition`, a column both sides have and `existing` is stored by (such as the month
     of an immutable event date), only the partitions that the batch touches are read: their
-    names, one for each month of the batch, are looked up first.
+    names, one for each month of the batch, are looked up first. An id sent with two dates is known
+    if it is stored under either.
     """
     batch = dedup_latest(incoming, [key], newest_first)
     if partition is None:
         return drop_known(batch, existing, [key])
     names = [r[0] for r in distinct_keys(incoming, partition).collect()]
     touched = existing.filter(F.col(partition).isin([n for n in names if n is not None]))
-    return drop_known(batch, touched, [key, partition]).select(*incoming.columns)
+    return drop_known(batch, touched, [key]).select(*incoming.columns)
 
 
 def version_as_of(
