@@ -47,6 +47,8 @@ SAMPLED = 400
 BUCKET_BYTES = 32 << 20
 #: Stretches with one beginning that a task compares; more are spread by whole windows.
 HOT = 4096
+#: Bytes of text within which a task sets its own repeats aside before it deals the rest.
+DEALT_BYTES = 2 << 20
 #: Bytes of one text that are looked at together.
 SEGMENT = 8 << 20
 _PLACE = np.uint64((1 << 24) - 1)  # a place within a piece, which is shorter than 16 MB
@@ -145,7 +147,7 @@ def _windows(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _deal(length: int, splitters: np.ndarray, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", DEALT_BYTES):
             doc, tie = batch.column("doc").to_numpy(), batch.column("tie").to_numpy()
             rows = _stretch_rows(batch, length)
             row = rows["row"]

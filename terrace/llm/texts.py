@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Bytes of text that a task works on at once; a longer text makes a piece of its own.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 
 def free_name(df: DataFrame, wanted: str) -> str:
@@ -53,6 +53,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str,
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+    pa.default_memory_pool().release_unused()  # the worker may stay on idle beside others
 
 
 def per_value(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
