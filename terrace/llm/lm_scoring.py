@@ -37,7 +37,7 @@ from terrace.llm.texts import per_value, pieces, values
 from terrace.session import cut_lineage
 
 #: Bytes of text in a chunk, and for each shard.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 SHARD_BYTES = 32 << 20
 FOLDS = 10
 HELD_OUT, DELETED, RETAINED = 0, 1, 2
