@@ -28,7 +28,7 @@ whole and as UTF-8 bytes, so a cut may fall inside a character.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,8 @@ BUCKET_BYTES = 32 << 20
 HOT = 4096
 #: Bytes of text within which a task sets its own repeats aside before it deals the rest.
 DEALT_BYTES = 2 << 20
+#: Rows that a task remembers, to cut the bytes of repeated ones once.
+REMEMBERED = 100_000
 #: Bytes of one text that are looked at together.
 SEGMENT = 8 << 20
 _PLACE = np.uint64((1 << 24) - 1)  # a place within a piece, which is shorter than 16 MB
@@ -131,13 +133,22 @@ def _stretch_rows(batch: pa.RecordBatch, length: int) -> dict[str, np.ndarray]:
     return {n: np.concatenate([o[n] for o in out]) if out else np.zeros(0, np.int64) for n in names}
 
 
+def _as_before(columns: Iterable[np.ndarray]) -> np.ndarray:
+    """Which rows equal the row before in all columns."""
+    columns = list(columns)
+    same = np.zeros(len(columns[0]), bool)
+    same[1:] = np.logical_and.reduce([c[1:] == c[:-1] for c in columns])
+    return same
+
+
 def _later(keys: list[np.ndarray], order: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Places sorted by `keys` then `order`; and which of them repeat the keys of the one before."""
+    """Places sorted by `keys` then `order`; and which of them repeat the keys of the one before.
+
+    Those that agree in all of it are one place of a repeated row, and only the first is given.
+    """
     by = np.lexsort([*reversed(order), *reversed(keys)])
-    same = np.zeros(len(by), bool)
-    if len(by):
-        same[1:] = np.logical_and.reduce([k[by][1:] == k[by][:-1] for k in keys])
-    return by, same
+    by = by[~_as_before(x[by] for x in (*keys, *order))]
+    return by, _as_before(k[by] for k in keys)
 
 
 def _windows(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -206,13 +217,22 @@ def _settle(hot: int):
 
 
 def _contexts(length: int):
-    """The bytes of stretches to be compared, cut from their documents."""
+    """The bytes of stretches to be compared, cut from their documents.
+
+    A task does that once for a repeated row, as far as it can remember the rows.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
         for batch in pieces(batches, "text"):
             data, ends = utf8(batch.column("text"))
             whole, rows = data.tobytes(), []
             for start, doc, tie, asked in zip(ends.tolist(), batch.column("doc").to_pylist(),
                                               batch.column("tie").to_pylist(), batch.column("asked").to_pylist()):
+                if (doc, tie) in seen:
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add((doc, tie))
                 for a in asked:
                     rows.append((doc, tie, a["first"], a["last"], a["suffix"], a["run"],
                                  whole[start + a["first"]:start + a["last"] + length]))
@@ -276,6 +296,7 @@ def _compare(length: int):
             rows.column(c).to_numpy() for c in ("doc", "tie", "first", "last", "suffix", "run"))
         by = np.lexsort((first, tie, doc))  # then a smaller place in the list is an earlier one
         data, ends = utf8(rows.column("context"))
+        by = by[~_as_before(x[by] for x in (doc, tie, first, last, run_))]  # repeated rows of other tasks
         doc, tie, first, last, suffix, run_ = (x[by] for x in (doc, tie, first, last, suffix, run_))
         row, window = _expand(first, last)
         _, run_ = np.unique(run_, return_inverse=True)

@@ -76,6 +76,23 @@ def test_random_texts_with_shared_passages(spark):
             d: brute.spans(want[d, t]) for d, t in rows}
 
 
+@pytest.mark.parametrize("options", [{}, {"hot": 1}, {"buckets": 3}])
+def test_repeated_rows_keep_what_is_their_own(spark, options):
+    words = lambda n: " ".join(f"{random.choice(WORDS)}{random.randrange(1000)}" for _ in range(n))
+    shared, variant, twice = words(40), words(40), words(30)
+    rows = [(1, words(60)), (None, words(60)), (2, f"{words(30)} {shared} {words(30)}"), (3, f"{words(10)} {shared} {words(9)}"),
+            (None, f"{words(5)} {twice} {words(5)} {twice}"), (4, f"{variant} {words(20)}"), (5, f"{words(3)} {variant[:130]} {words(20)}")]
+    want = brute.suffix_dedup(rows)
+    assert not any(want[rows[0]]) and not any(want[rows[1]])
+    assert all(any(want[rows[k]]) for k in (3, 4, 6))
+    docs = spark.createDataFrame(rows * 3, "doc_id long, text string").repartition(5)
+    got = sorted(((r.row.doc_id, [tuple(s) for s in r.spans], bytes(r.kept).decode(errors="ignore"))
+                  for r in suffix_dedup.deduplicated(docs, **options).collect()), key=key)
+    assert got == sorted(((d, brute.spans(want[d, t]),
+                           bytes(b for b, f in zip(t.encode(), want[d, t]) if not f).decode(errors="ignore"))
+                          for d, t in rows * 3), key=key)
+
+
 def test_texts_beyond_a_segment(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 5000)
     rows = [(1, LONG[:20_000]), (2, "begin " + LONG[3000:16_000] + " x")]
