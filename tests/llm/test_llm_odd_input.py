@@ -204,6 +204,24 @@ def test_classifier(odd, frame):
         assert (row.perplexity is None) == (row.n_grams == 0) and not (row.n_grams == 0 and row.kept)
 
 
+def test_classifier_rejects_junk_that_is_much_of_a_language(spark):
+    rng = random.Random(7)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    trusted = spark.read.parquet(f"{SMALL}/labels.parquet").filter("quality = 1").select("doc_id")
+    said = lambda: " ".join("".join(rng.choices("bcdfghjkqwxz", k=rng.randrange(3, 9))) for _ in range(150))
+    counts = {r.lang: r["count"] for r in docs.groupBy("lang").count().collect()}
+    junk = [(10**6 + 1000 * k + i, said(), lang) for k, (lang, n) in enumerate(sorted(counts.items())) for i in range(n // 2 + 1)]
+    junk += [(2 * 10**6 + i, said(), "without trusted texts") for i in range(10)]
+    plain = docs.filter("lang = 'en'").join(trusted, "doc_id", "left_semi").limit(20).collect()
+    junk += [(3 * 10**6 + i, r.text, "without trusted texts") for i, r in enumerate(plain)]
+    table = docs.unionByName(spark.createDataFrame(junk, "doc_id long, text string, lang string"))
+    got = {r.row.doc_id: r.kept for r in quality_classifier.classified(table, trusted).collect()}
+    assert not any(got[d] for d, *_ in junk if d < 3 * 10**6)
+    assert all(got[d] for d, *_ in junk if d >= 3 * 10**6)
+    ids = [r.doc_id for r in trusted.collect()]
+    assert sum(got[d] for d in ids) >= 0.98 * len(ids)
+
+
 def test_shards(odd):
     got = sharding.sharded(odd, 4).collect()
     assert sorted(key((r.doc_id, r.size)) for r in got) == sorted(
