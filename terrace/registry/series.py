@@ -170,11 +170,11 @@ def _fitted(train: DataFrame, *builds):
 
 
 def _forest(_: DataFrame):
-    return models.random_forest(LABEL, trees=20, depth=6)
+    return models.random_forest(LABEL)
 
 
 def _boosted(_: DataFrame):
-    return models.boosted_trees(LABEL, rounds=10, depth=4)
+    return models.boosted_trees(LABEL)
 
 
 @query("ml_standard_scale", f"""

@@ -4,6 +4,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from terrace.operators import models
+from terrace.registry import series as registered
 
 N = 300
 
@@ -64,6 +65,12 @@ def test_scaler_and_importance(spark, frame):
     assert [r.feature for r in top] == ["a"]
 
 
+def test_registered_trees_have_full_size(spark):
+    forest, boosted = registered._forest(None), registered._boosted(None)
+    assert (forest.getNumTrees(), forest.getMaxDepth()) == (200, 10)
+    assert (boosted.getMaxIter(), boosted.getMaxDepth()) == (200, 5)
+
+
 def test_stacking_beats_its_weak_part_and_folds_are_stable(data):
     _, _, df = data
     train, test = df.filter("id < 200"), df.filter("id >= 200")
