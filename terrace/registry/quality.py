@@ -696,6 +696,22 @@ def file_compare(t: Tables) -> DataFrame:
     return compare_cells(known, t.raw("customers_day2").distinct(), ["customer_id"], _COMPARED)
 
 
+_ALL_COMPARED = [c for c in BRONZE_COLUMNS["customers"] if c != "customer_id"]
+
+
+@query("dq_file_compare_all", "WITH n AS (SELECT DISTINCT * FROM b_customers_day2) " + _all(
+    *(f"SELECT customer_id, '{c}' AS column_name, o.{c} AS left_value, n.{c} AS right_value, "
+      "'different' AS finding FROM b_first_load o JOIN n USING (customer_id) "
+      f"WHERE o.{c} IS DISTINCT FROM n.{c}" for c in _ALL_COMPARED),
+    "SELECT customer_id, '*', NULL, NULL, 'missing on left' FROM n "
+    "WHERE customer_id NOT IN (SELECT customer_id FROM b_first_load)",
+    "SELECT customer_id, '*', NULL, NULL, 'missing on right' FROM b_first_load "
+    "WHERE customer_id NOT IN (SELECT customer_id FROM n)"))
+def file_compare_all(t: Tables) -> DataFrame:
+    known = t.raw("customers").filter(F.col("customer_since") < given.FIRST_LOAD)
+    return compare_cells(known, t.raw("customers_day2").distinct(), ["customer_id"], _ALL_COMPARED)
+
+
 @query("dq_suite", _all(
     _none("not_null", "dim_account", "customer_id", "customer_id IS NULL", "s_dim_account"),
     _none("domain", "dim_account", "account_type",

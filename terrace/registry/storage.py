@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from terrace.plans.jobs import Landing, bronze_to_silver, source_to_bronze, update_silver
 from terrace.registry.common import Tables, query
 from terrace.registry.layers_sql import AS_OF, FIRST_DAY, SECOND_DAY, columns_of
-from terrace.schemas import BRONZE_COLUMNS
+from terrace.schemas import BRONZE_COLUMNS, GOLD_DDL, SILVER_DDL
 from terrace.session import new_folder
 from terrace.sources import files, tables
 from terrace.sources.given import FIRST_LOAD, TRANSACTION_CUTOFF
@@ -155,6 +155,24 @@ def layer_row_counts(t: Tables) -> DataFrame:
         "gold_daily_txn_summary": t.daily_summary, "gold_loan_portfolio": t.loan_portfolio})
 
 
+_ALL_COUNTED = {
+    **{f"bronze_{e}": f"b_{e}" for e in BRONZE_COLUMNS}, **{name: f"s_{name}" for name in SILVER_DDL},
+    **{name: name.replace("gold_", "g_") for name in GOLD_DDL}}
+
+
+@query("layer_row_counts_all", " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}"
+    for name, source in _ALL_COUNTED.items()))
+def layer_row_counts_all(t: Tables) -> DataFrame:
+    return tables.row_counts({
+        **{f"bronze_{e}": t.raw(e) for e in BRONZE_COLUMNS},
+        "dim_customer": t.customers, "dim_account": t.accounts, "dim_branch": t.branches,
+        "dim_product": t.products, "dim_date": t.calendar, "fact_transaction": t.transactions,
+        "fact_loan": t.loans, "gold_customer_360": t.customer_360,
+        "gold_branch_performance": t.branch_performance, "gold_daily_txn_summary": t.daily_summary,
+        "gold_loan_portfolio": t.loan_portfolio})
+
+
 # --- jobs and streams ----------------------------------------------------------------------
 
 
