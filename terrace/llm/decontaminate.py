@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from terrace.llm.texts import free_name, pieces, values
+from terrace.session import cut_lineage
 
 WINDOW = 13
 AUTOMATON_WORDS = 200_000
@@ -211,6 +212,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
         if k == 0:
             out = _scanned(out, text, into, group, window)
             continue
+        out = cut_lineage(out)  # else one task would hold the automatons of all groups side by side
         more = free_name(out, f"{into}_more")
         out = _scanned(out, text, more, group, window)
         both = F.array_sort(F.concat(have["spans"], F.col(f"`{more}`.spans")))

@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from tests.conftest import SMALL, rows_of
+from tests.conftest import SMALL, plan_of, rows_of
 from tests.llm import brute
 from terrace.llm import (bpe, chat_format, decontaminate, lm_scoring, quality_classifier, quality_rules,
                          sharding, simhash, suffix_dedup, url_filters)
@@ -164,6 +164,12 @@ def test_contamination_over_several_groups(odd, spark):
             assert [(s.first, s.past) for s in hits.spans] == brute.spans(bytes(flags))
 
 
+def test_a_task_scans_for_one_group_of_items(odd, spark):
+    items = spark.createDataFrame([(i, f"w{i} " * 20) for i in range(4)], "item_id long, text string")
+    found, _ = decontaminate.contamination(odd, items, limit=30)
+    assert plan_of(found).count("MapInArrow") == 1
+
+
 def test_few_hits_are_cut_and_many_drop_the_document(frame):
     text = " ".join(f"w{i}" for i in range(400))
     item = " ".join(f"w{i}" for i in range(100, 113))
