@@ -162,6 +162,11 @@ def _questions(shards: int):
     return run
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits if all of them fit, else in 64."""
+    return counts.astype(np.uint32 if counts.max(initial=0) < 1 << 32 else np.uint64)
+
+
 def _added(hashes: list[np.ndarray], times: list[np.ndarray], parts: list[int]) -> tuple[np.ndarray, ...]:
     """Counts over all training texts and over the retained ones, in the order asked, and the keys."""
     keys, back = np.unique(np.concatenate(hashes), return_inverse=True)
@@ -195,7 +200,7 @@ def _answers():
                               int(retained[token].sum())]
                 at = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
                 for answer, a, b in zip(answers, at, at[1:]):
-                    answer += [everything[back[a:b]].astype(np.uint32), retained[back[a:b]].astype(np.uint32)]
+                    answer += [_narrow(everything[back[a:b]]), _narrow(retained[back[a:b]])]
             yield pa.RecordBatch.from_arrays([
                 pa.array([*(chunks[i] for i in own), None], pa.int64()),
                 pa.array([shard] * (len(own) + 1), pa.int32()),

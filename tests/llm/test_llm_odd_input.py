@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -203,6 +205,17 @@ def test_lm(odd):
     assert got == want
 
 
+def test_lm_answers_with_counts_beyond_32_bits():
+    many, hashes = (1 << 32) - 1, np.array([5, 9], np.uint64)
+    packed = lm_scoring._pack(*[lm_scoring._bytewise(hashes), np.array([many, 1], np.uint32)] * 2)
+    rows = [pa.RecordBatch.from_arrays(
+        [pa.array([0, 0], pa.int32()), pa.array([1, 2]), pa.array([lm_scoring.RETAINED] * 2, pa.int32()),
+         pa.array([packed] * 2, pa.binary())], ["shard", "chunk", "part", "asked"])]
+    (answered,) = lm_scoring._answers()(iter(rows))
+    for packed in answered.column("answer").to_pylist()[:2]:
+        assert [a.tolist() for a in lm_scoring._unpack(packed)] == [[2 * many, 2]] * 4
+
+
 def test_classifier(odd, frame):
     got = quality_classifier.classified(odd, frame("doc_id long", [4], [4], [None], [99])).collect()
     assert len(got) == len(ODD)
