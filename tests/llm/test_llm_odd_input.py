@@ -51,6 +51,18 @@ def test_ablation_counts_patterns(frame):
     assert got == {"few_words": (2, 1, 3), "repeated_windows": (0, 0, 4), "many_symbols": (3, 2, 2)}
 
 
+def test_ablation_of_all_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    judged, name = quality_rules.ledger(docs)
+    failed = [r[0] for r in judged.select(f"{name}.failed").collect()]
+    assert len(failed) == docs.count() and any(failed)
+    for policy, rules in quality_rules.POLICIES.items():
+        bits = [{rule for rule in rules if f & quality_rules.BIT[rule]} for f in failed]
+        got = {r.rule: tuple(r)[1:] for r in quality_rules.ablation(judged.select(f"{name}.failed"), policy).collect()}
+        assert got == {rule: (sum(rule in b for b in bits), sum(b == {rule} for b in bits),
+                              sum(bool(b - {rule}) for b in bits)) for rule in rules}
+
+
 @pytest.mark.parametrize("options", [{}, {"hot": 1}, {"buckets": 3}])
 def test_suffixes(odd, options):
     want = brute.suffix_dedup(ODD)
