@@ -166,10 +166,46 @@ SELECT doc_id, (len(t.h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_r
 FROM texts t LEFT JOIN kept k USING (r)
 """
 
+#: The tables' pages have one article each; of inline markup, they have b, and br at the ends of blocks.
+OP11 = r"""
+WITH bodies AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1) AS h FROM pages),
+marked AS (
+    SELECT page_id, url, regexp_replace(regexp_replace(h, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS h FROM bodies),
+texts AS (
+    SELECT page_id, url, trim(regexp_replace(
+        replace(replace(replace(replace(h, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
+        '[\x20\x09-\x0D]+', ' ', 'g')) AS text FROM marked)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM texts
+"""
+
+OP12 = """
+WITH sound AS (
+    SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+met AS (
+    SELECT a.r, a.vec_id AS anchor_id, b.r AS other, b.vec_id, a.label = b.label AS same,
+           list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM sound a JOIN sound b ON a.vec_id % 100 = 0 AND a.r <> b.r),
+positives AS (
+    SELECT * FROM met WHERE same QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       row_number() OVER (PARTITION BY p.r, p.other ORDER BY n.score DESC, n.vec_id, n.other)::INT AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN met n ON n.r = p.r AND NOT n.same
+    AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
 ORACLE = {
     "op1_chat_formatting": OP1,
     "op2_suffix_array_dedup": OP2,
     "op5_quality_rules": OP5,
     "op8_url_filters": OP8,
     "op9_benchmark_decontamination": OP9,
+    "op11_html_extraction": OP11,
+    "op12_hard_negatives": OP12,
 }

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from terrace.llm import bpe, chat_format, decontaminate, lm_scoring, quality_classifier, quality_rules, sharding, simhash, suffix_dedup, url_filters
+from terrace.llm import (
+    bpe, chat_format, decontaminate, hard_negatives, html_extract, lm_scoring, quality_classifier, quality_rules, repair,
+    sharding, simhash, suffix_dedup, url_filters)
 from terrace.llm.oracle import ORACLE  # noqa: F401
 
 SHARDS = 16
@@ -152,6 +154,33 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col(text), 256).alias("decoded_sha256"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(rows, F.col("id") % 100 == 0, label=label)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults that hang on their ids and turns alone, and how often each row stands there."""
+    said = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = F.crc32(F.concat(said("conv_id"), F.lit(":"), said("turn"))) % 20
+    text = F.when(fate == 1, "").when(fate == 2, F.regexp_replace(said("text"), "[.!?]", "")).otherwise(said("text"))
+    return rows.select(
+        "conv_id", "turn", F.when(fate == 4, "user").otherwise(said("role")).alias("role"), text.alias("text"),
+        F.when(fate == 0, 0).when(fate == 3, 2).otherwise(1).alias("copies"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    found = repair.repaired(rows, copies=F.col("copies"))
+    return found.select(F.col("conv").alias("conv_id"), *repair.COUNTS, "audit", "repaired_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     table(spark, sf_dir, "documents")
     return corpus_pipeline.run(spark, sf_dir)
@@ -161,4 +190,5 @@ QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_chat_formatting, op2_suffix_array_dedup, op3_lm_scoring, op4_quality_classifier,
         op5_quality_rules, op6_simhash_near_dedup, op7_sharding, op8_url_filters,
-        op9_benchmark_decontamination, op10_bpe, pipeline)}
+        op9_benchmark_decontamination, op10_bpe, op11_html_extraction, op12_hard_negatives,
+        op13_conversation_repair, pipeline)}

@@ -1,6 +1,7 @@
 """Plain, slow versions of the operators, for comparison on small tables."""
 
 import hashlib
+import heapq
 import math
 import re
 import zlib
@@ -172,3 +173,58 @@ def quality(text):
     lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
     return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"),
             len(lines) - len(set(lines)), len(covered), len(lines))
+
+
+def damaged(rows):
+    """(conv, turn, role, text) rows after the faults, and all conversation ids."""
+    space = lambda x: " " if x is None else str(x)
+    out = []
+    for conv, turn, role, text in rows:
+        fate = zlib.crc32(f"{space(conv)}:{space(turn)}".encode()) % 20
+        role, text = space(role), space(text)
+        text = "" if fate == 1 else re.sub("[.!?]", "", text) if fate == 2 else text
+        row = (conv, turn, "user" if fate == 4 else role, text)
+        out += [row] * (0 if fate == 0 else 2 if fate == 3 else 1)
+    return out, {r[0] for r in rows}
+
+
+def repaired(kept):
+    """The cheapest edits of some (role, text, fault) rows, by trying audits in order of cost."""
+    heap, done = [(0, "", "", 0, ())], set()
+    while heap:
+        cost, audit, initials, at, lines = heapq.heappop(heap)
+        if at == len(kept) and re.fullmatch("(s?(ua)+)?", initials):
+            return cost, audit, lines
+        # What is left hangs on the rows read and the place in the pattern; the first one there is best.
+        state = (at, "^s" if initials == "s" else initials[-1:])
+        if state in done or not re.fullmatch("s?(ua)*u?", initials):
+            continue
+        done.add(state)
+        for role in ("user", "assistant"):
+            heapq.heappush(heap, (cost + 3, audit + "I", initials + role[0], at, (*lines, role + ":")))
+        if at == len(kept):
+            continue
+        role, text, fault = kept[at]
+        heapq.heappush(heap, (cost + 4, audit + "D", initials, at + 1, lines))
+        if fault not in ("blank", "duplicate"):
+            extra = 3 * (fault == "truncated")
+            if role:
+                heapq.heappush(heap, (cost + extra, audit + "K", initials + role[0], at + 1, (*lines, f"{role}:{text}")))
+            for new in ("user", "assistant"):
+                heapq.heappush(heap, (cost + 3 + extra, audit + "R", initials + new[0], at + 1, (*lines, f"{new}:{text}")))
+
+
+def conversation(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, sha) of (turn, role, text) rows in their order."""
+    turns = {t for t, _, _ in rows if t is not None}
+    seen, faults = set(), []
+    for _, role, text in rows:
+        said = re.sub(r"[\x20\x09-\x0D]+", "", text)
+        faults.append("blank" if not said else "duplicate" if (role, text) in seen
+                      else "truncated" if said[-1] not in ".!?" else "")
+        seen.add((role, text))
+    initials = [role[:1] for _, role, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    cost, audit, lines = repaired([(r, t, f) for (_, r, t), f in zip(rows, faults)])
+    return (max(turns) - min(turns) + 1 - len(turns) if turns else 0, *(faults.count(f) for f in (
+        "blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(lines)))
