@@ -30,8 +30,9 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, S
 
 from terrace.llm.texts import free_name, pieces
 
-#: Words remembered by a worker, twice at most.
-CACHE_WORDS = 150_000
+#: Bytes of words and ids remembered by a worker, with what Python needs to hold them.
+CACHE_BYTES = 24 << 20
+HELD = 150
 #: Below this code point letters and digits are listed for the plain `re` module, which is faster.
 NEAR = 0x100
 SUFFIX = "</w>"
@@ -104,8 +105,8 @@ class Tokenizer:
         for name, number in names.items():
             self.token[number] = name
         self.tokens = pa.array(self.token, pa.string())
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.held = 0
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of ids, NEVER where they don't merge."""
@@ -203,12 +204,15 @@ class Tokenizer:
 
     def _known(self, words: set[str]) -> dict[str, bytes]:
         """The ids of all these words, remembered or made."""
-        known = {w: v for w in words if (v := self.young.get(w) or self.old.get(w)) is not None}
+        known = {w: v for w in words if (v := self.known.get(w)) is not None}
         if missing := list(words - known.keys()):
-            known.update(zip(missing, self.merged(missing)))
-        self.young.update((w, v) for w, v in known.items() if len(w) <= 64)
-        if len(self.young) > CACHE_WORDS:
-            self.old, self.young = self.young, {}
+            made = dict(zip(missing, self.merged(missing)))
+            known.update(made)
+            if self.held > CACHE_BYTES:
+                self.known, self.held = {}, 0
+            short = {w: v for w, v in made.items() if len(w) <= 64}
+            self.known.update(short)
+            self.held += sum(len(w) + len(v) + HELD for w, v in short.items())
         return known
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -236,6 +240,11 @@ class Tokenizer:
         return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), names), " ")
 
 
+def _listed(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+
+
 @lru_cache(2)
 def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
@@ -249,9 +258,7 @@ def encoded(docs: DataFrame, text: str = "text", into: str = "ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokenizer(path).encode
         for batch in pieces(batches, text):
-            found = encode([t or "" for t in batch.column(text).to_pylist()])
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+            ids = _listed(encode([t or "" for t in batch.column(text).to_pylist()]))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*names, into])
 
     kind = StructField(into, ArrayType(IntegerType(), True))
@@ -272,3 +279,25 @@ def decoded(rows: DataFrame, ids: str = "ids", into: str = "decoded",
                 yield pa.RecordBatch.from_arrays([*part.columns, made], [*names, into])
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(into, StringType())])), into
+
+
+def round_trip(docs: DataFrame, text: str = "text", ids: str = "ids", decoded: str = "decoded",
+               path: str | None = None) -> tuple[DataFrame, str, str]:
+    """`docs` with, instead of their texts, token ids and what these decode to; and the columns' names.
+
+    One worker does both for a piece of texts, with one vocabulary in memory.
+    """
+    path, ids = path or default_path(), free_name(docs, ids)
+    rest = [f for f in docs.schema.fields if f.name != text]
+    decoded = free_name(docs, decoded)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = tokenizer(path)
+        for batch in pieces(batches, text):
+            made = _listed(known.encode([t or "" for t in batch.column(text).to_pylist()]))
+            back = known.decode(made).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(f.name) for f in rest), made, back], [*(f.name for f in rest), ids, decoded])
+
+    new = [StructField(ids, ArrayType(IntegerType(), True)), StructField(decoded, StringType())]
+    return docs.mapInArrow(run, StructType([*rest, *new])), ids, decoded

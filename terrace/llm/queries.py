@@ -146,8 +146,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded, ids = bpe.encoded(docs)
-    back, text = bpe.decoded(coded.select("doc_id", ids), ids)
+    back, ids, text = bpe.round_trip(docs)
     return back.select(
         "doc_id", F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col(ids).cast("array<string>"), " "), 256).alias("ids_sha256"),

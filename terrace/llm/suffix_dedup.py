@@ -8,8 +8,11 @@ with the least hash (leftmost on ties); the suffix that starts there stands for
 windows name the same run, so only suffixes that begin alike need to be compared, and only about
 one position in thirty has a suffix. Neighbouring windows that name the same suffix are a stretch.
 
-**Buckets.** Splitters are quantiles of the leading bytes of suffixes of sampled documents (then of the
-run's hash, which divides frequent beginnings); each task deals its stretches to the ranges.
+**Buckets.** Splitters are quantiles of the leading bytes of sampled suffixes (then of the run's hash); each
+task deals its stretches to the ranges, and within a range to buckets by the run's hash. The sample has
+some `DRAWN` suffixes for each of at most `RANGES` ranges, so what the driver sorts is bounded. Runs that the
+sample meets in several different stretches are frequent: their stretches are dealt to all buckets by
+their own hash, and their windows are compared as those of other hot beginnings, below.
 In a bucket, suffixes are sorted. Stretches of equal bytes: all but the first go as a whole; a task
 does that for its own stretches before it deals them, so copies, however many, meet once per task.
 Where the suffixes of different stretches begin alike, the windows are sorted by their bytes with
@@ -22,7 +25,7 @@ Hashes of 64 bits (128 for whole windows that are spread) stand for stretches of
 
 Defined results for odd input: null and empty texts have nothing to remove; texts shorter than
 `length` stay whole; null ids come last; rows that repeat an id and a text are one document and get
-the same result each; different texts under one id are ordered by a checksum; texts are compared
+the same result each; different texts under one id are ordered by a 64-bit hash, which tells them apart; texts are compared
 whole and as UTF-8 bytes, so a cut may fall inside a character.
 """
 
@@ -41,8 +44,12 @@ from terrace.session import cut_lineage
 
 LENGTH = 100
 GRAM = 32
-#: Documents from which splitters are drawn, on average.
+#: Ranges at most, suffixes drawn for each on average, and documents from which these come, at least.
+RANGES = 4096
+DRAWN = 200
 SAMPLED = 400
+#: Different stretches of a run in the sample that make it frequent.
+FREQUENT = 8
 #: Bytes of text for each bucket.
 BUCKET_BYTES = 32 << 20
 #: Stretches with one beginning that a task compares; more are spread by whole windows.
@@ -156,7 +163,9 @@ def _windows(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, first + (place & 127)
 
 
-def _deal(length: int, splitters: np.ndarray, buckets: int):
+def _deal(length: int, splitters: np.ndarray, frequent: np.ndarray, buckets: int):
+    subs = np.uint64(max(1, buckets // (len(splitters) + 1)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text", DEALT_BYTES):
             doc, tie = batch.column("doc").to_numpy(), batch.column("tie").to_numpy()
@@ -166,6 +175,8 @@ def _deal(length: int, splitters: np.ndarray, buckets: int):
             gone, own = by[again], by[~again]
             key = np.stack([rows["lead"][own].astype(">u8"), rows["run"][own].astype(">u8")], axis=1)
             bucket = np.searchsorted(splitters, np.ascontiguousarray(key).view("S16")[:, 0], side="right")
+            bucket = bucket * int(subs) + (rows["run"][own] % subs).astype(np.int64)
+            bucket = np.where(np.isin(rows["run"][own], frequent), rows["bytes"][own] % np.uint64(buckets), bucket)
             first, last = _windows(rows["place"][gone])
             order = np.lexsort((first, row[gone]))
             r, first, last = row[gone][order], first[order], last[order]
@@ -186,8 +197,11 @@ def _deal(length: int, splitters: np.ndarray, buckets: int):
     return run
 
 
-def _settle(hot: int):
-    """In a bucket: which stretches go as a whole, and which must be compared by their bytes."""
+def _settle(hot: int, frequent: np.ndarray):
+    """In a bucket: which stretches go as a whole, and which must be compared by their bytes.
+
+    A frequent run's other stretches lie in other buckets, so all of its stretches are compared.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
         if not held:
@@ -203,6 +217,8 @@ def _settle(hot: int):
         new[1:] = run_[leader][1:] != run_[leader][:-1]
         number = np.cumsum(new) - 1
         variants = np.bincount(number)[number] if len(leader) else number
+        spread = np.isin(run_[leader].view(np.uint64), frequent)
+        variants = np.where(spread, hot + 1, variants)
         asked = leader[variants > 1]
         first, last = _windows(place)
         first[gone], last[gone] = run_[gone], bytes_[gone]
@@ -236,10 +252,10 @@ def _contexts(length: int):
                 for a in asked:
                     rows.append((doc, tie, a["first"], a["last"], a["suffix"], a["run"],
                                  whole[start + a["first"]:start + a["last"] + length]))
-            kinds = (pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary())
+            kinds = (*[pa.int64()] * 6, pa.binary())
             names = ["doc", "tie", "first", "last", "suffix", "run", "context"]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 8, kinds)], names)
+                [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 7, kinds)], names)
     return run
 
 
@@ -343,20 +359,27 @@ def _spread(length: int):
     return run
 
 
-def _splitters(docs: DataFrame, length: int, buckets: int, total: int) -> np.ndarray:
-    """Quantiles of (leading bytes, run's hash) over the suffixes of about SAMPLED documents."""
+def _splitters(docs: DataFrame, length: int, buckets: int, total: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Quantiles of (leading bytes, run's hash) over different sampled stretches; and the frequent runs."""
+    ranges = min(buckets, RANGES)
+    share = min(1.0, max(SAMPLED, 8 * ranges) / max(total, 1))
+    # About every thirtieth byte has a suffix.
+    chance = min(1.0, DRAWN * ranges / max(share * size / 30, 1))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             rows = _stretch_rows(batch, length)
-            some = np.random.default_rng(0).random(len(rows["run"])) < 0.1
-            key = np.stack([rows["lead"][some].astype(">u8"), rows["run"][some].astype(">u8")], axis=1)
+            some = np.random.default_rng(len(rows["run"])).random(len(rows["run"])) < chance
+            key = np.stack([rows[c][some].astype(">u8") for c in ("lead", "run", "bytes")], axis=1)
             yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in key], pa.binary())], ["key"])
 
-    wanted = max(SAMPLED, 8 * buckets)
-    part = docs.sample(min(1.0, wanted / max(total, 1)), seed=7).mapInArrow(run, "key binary")
-    drawn = sorted(bytes(r.key) for r in part.limit(1000 * buckets).collect())
-    cuts = [drawn[len(drawn) * i // buckets] for i in range(1, buckets)] if drawn else []
-    return np.array(sorted(set(cuts)) or [b"\xff" * 16], "S16")
+    part = docs.sample(share, seed=7).mapInArrow(run, "key binary").distinct()
+    drawn = np.array(sorted(part.toArrow().column("key").to_pylist()), "S24")
+    key = drawn.view("S8").reshape(-1, 3) if len(drawn) else np.zeros((0, 3), "S8")
+    cuts = drawn[[len(drawn) * i // ranges for i in range(1, ranges)]].tolist() if len(drawn) else []
+    splitters = np.array(sorted({c.ljust(24, b"\0")[:16] for c in cuts}) or [b"\xff" * 16], "S16")
+    run_, often = np.unique(key[:, 1].copy().view(">u8").astype(np.uint64), return_counts=True)
+    return splitters, run_[often >= FREQUENT]
 
 
 def _known(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -364,7 +387,7 @@ def _known(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     said = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     return docs.select(
         F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST_ID)).alias("doc"),
-        (F.crc32(said) - (1 << 31)).cast("int").alias("tie"), said.alias("text"),
+        F.xxhash64(said).alias("tie"), said.alias("text"),
         F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text)).alias("row"))
 
 
@@ -377,25 +400,25 @@ def _repeated(known: DataFrame, length: int, buckets: int | None, hot: int) -> D
     long = texts.filter(F.octet_length("text") >= length)
     total, size = texts.agg(F.count("*"), F.sum(F.octet_length("text").cast("long"))).first()
     buckets = buckets or max(16, (size or 0) // BUCKET_BYTES + 1)
-    splitters = _splitters(long, length, buckets, total)
+    splitters, frequent = _splitters(long, length, buckets, total, size or 0)
     dealt = long.mapInArrow(
-        _deal(length, splitters, buckets),
-        "bucket int, gone boolean, run long, bytes long, doc long, tie int, place long")
+        _deal(length, splitters, frequent, buckets),
+        "bucket int, gone boolean, run long, bytes long, doc long, tie long, place long")
     settled = cut_lineage(dealt.repartitionById(buckets, F.col("bucket")).mapInArrow(
-        _settle(hot), "kind int, doc long, tie int, first long, last long, suffix long, run long"))
+        _settle(hot, frequent), "kind int, doc long, tie long, first long, last long, suffix long, run long"))
 
     def contexts(kind: int) -> DataFrame:
         asked = settled.filter(F.col("kind") == kind).groupBy("doc", "tie").agg(
             F.collect_list(F.struct("first", "last", "suffix", "run")).alias("asked"))
         return known.join(asked, ["doc", "tie"]).mapInArrow(
-            _contexts(length), "doc long, tie int, first long, last long, suffix long, run long, "
+            _contexts(length), "doc long, tie long, first long, last long, suffix long, run long, "
             "context binary")
 
     compared = (contexts(1).repartition("run").sortWithinPartitions("run")
-                .mapInArrow(_compare(length), "doc long, tie int, first long, last long"))
+                .mapInArrow(_compare(length), "doc long, tie long, first long, last long"))
     found = settled.filter("kind = 0").select("doc", "tie", "first", "last").unionByName(compared)
     if not settled.filter("kind = 2").isEmpty():
-        spread = contexts(2).mapInArrow(_spread(length), "said binary, doc long, tie int, first long")
+        spread = contexts(2).mapInArrow(_spread(length), "said binary, doc long, tie long, first long")
         at = F.struct("doc", "tie", "first")
         earliest = spread.groupBy("said").agg(F.min(at).alias("earliest"))
         found = found.unionByName(spread.join(earliest, "said").filter(at > F.col("earliest")).select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,7 +54,14 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str,
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
-    pa.default_memory_pool().release_unused()  # the worker may stay on idle beside others
+    give_back()
+
+
+def give_back() -> None:
+    """Returns memory that is free to the system: a worker may stay on idle beside others."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def per_value(flags: np.ndarray, at: np.ndarray) -> np.ndarray:

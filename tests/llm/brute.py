@@ -14,9 +14,14 @@ def sha(text) -> str:
     return hashlib.sha256(text.encode() if isinstance(text, str) else text).hexdigest()
 
 
+def tie(text) -> int:
+    number = xxhash.xxh64_intdigest((text or "").encode(), 42)
+    return number - (1 << 64) * (number >> 63)
+
+
 def suffix_dedup(rows, length=100):
     """{(id, text): flags of removed bytes} of distinct documents."""
-    order = lambda r: (r[0] is None, r[0] or 0, zlib.crc32((r[1] or "").encode()))
+    order = lambda r: (r[0] is None, r[0] or 0, tie(r[1]))
     seen, out = set(), {}
     for doc, text in sorted(set(rows), key=order):
         data = (text or "").encode()
@@ -228,3 +233,40 @@ def conversation(rows):
     cost, audit, lines = repaired([(r, t, f) for (_, r, t), f in zip(rows, faults)])
     return (max(turns) - min(turns) + 1 - len(turns) if turns else 0, *(faults.count(f) for f in (
         "blank", "duplicate", "truncated")), illegal, cost, audit, sha("\n".join(lines)))
+
+
+def sharding(rows, shards, parts=64):
+    """(shard, slot) of each (id, text) row: large texts on the emptiest shard, the others by their middles."""
+    last = (1 << 63) - 1
+    said = [(text or "").encode() for _, text in rows]
+    key = [(k - (1 << 64) * (k >> 63), last if doc is None else doc, n) for n, (k, (doc, _)) in enumerate(zip(
+        (xxhash.xxh64_intdigest(t, 42) for t in said), rows))]
+    size = [len(t) + 1 for t in said]
+    of_text = Counter()
+    for k, s in zip(key, size):
+        of_text[k[0]] += s
+    total = sum(size)
+    held, own = [0] * shards, {}
+    for s, k in sorted(((s, k) for k, s in of_text.items()), reverse=True):
+        if s * parts * shards >= total >= s * shards:
+            own[k] = min(range(shards), key=lambda i: (held[i], i))
+            held[own[k]] += s
+    low, high = 0.0, 2.0 * total
+    for _ in range(200):  # the level by halving
+        level = (low + high) / 2
+        low, high = (level, high) if sum(max(0, level - h) for h in held) < total - sum(held) else (low, level)
+    ends, shard, at, first = [], {}, 0, {}
+    for h in held:
+        ends.append((ends[-1] if ends else 0) + max(0, high - h))
+    for n in sorted(range(len(rows)), key=key.__getitem__):
+        k = key[n][0]
+        first.setdefault(k, at)
+        whole = of_text[k] * shards <= total
+        middle = first[k] + of_text[k] // 2 if whole else at + size[n] // 2
+        shard[n] = own.get(k, sum(int(e + 1e-6) <= middle for e in ends[:-1]))
+        at += 0 if k in own else size[n]
+    slots, out = Counter(), {}
+    for n in sorted(range(len(rows)), key=key.__getitem__):
+        out[n] = (shard[n], slots[shard[n]])
+        slots[shard[n]] += 1
+    return [out[n] for n in range(len(rows))]

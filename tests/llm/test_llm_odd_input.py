@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +108,40 @@ def test_repeated_rows_keep_what_is_their_own(spark, options):
                           for d, t in rows * 3), key=key)
 
 
+def _spans_of(spark, rows, **options):
+    got = suffix_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), **options)
+    want = brute.suffix_dedup(rows)
+    assert sorted(((r.row.doc_id, [tuple(s) for s in r.spans]) for r in got.collect()), key=key) == sorted(
+        ((d, brute.spans(want[d, t])) for d, t in rows), key=key)
+
+
+def test_texts_of_one_checksum_are_told_apart(spark):
+    known, draw = {}, random.Random(4)
+    while True:
+        text = "".join(draw.choices("abcdefghij ", k=150))
+        other = known.setdefault(zlib.crc32(text.encode()), text)
+        if other != text:
+            break
+    for doc in (None, 5):
+        _spans_of(spark, [(doc, text), (doc, other), (9, f"{text[20:]} and more"), (10, "own " * 3 + other[:120])])
+
+
+def test_a_run_in_very_many_different_stretches(spark, monkeypatch):
+    # The run of least hash of many: wherever it stands, it names the windows around it.
+    draw = np.random.default_rng(3)
+    many = draw.integers(97, 123, 200_000).astype(np.uint8)
+    at = int(np.argmin(suffix_dedup._gram_hashes(many)))
+    run = many[at:at + 32].tobytes().decode()
+    words = lambda n: "".join(map(chr, draw.integers(97, 123, n)))
+    rows = [(i, words(80) + run + words(80)) for i in range(3000)]
+    rows += [(5000 + i, words(30) + rows[7 * i][1][20:170] + words(9)) for i in range(200)]
+    asked = []
+    dealt = suffix_dedup._settle
+    monkeypatch.setattr(suffix_dedup, "_settle", lambda hot, frequent: asked.append(len(frequent)) or dealt(hot, frequent))
+    _spans_of(spark, rows, buckets=12)
+    assert asked and asked[0] >= 1
+
+
 def test_texts_beyond_a_segment(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SEGMENT", 5000)
     rows = [(1, LONG[:20_000]), (2, "begin " + LONG[3000:16_000] + " x")]
@@ -262,13 +297,35 @@ def test_shards(odd):
         assert slots == list(range(len(slots)))
 
 
+def sharded(spark, rows, shards):
+    got = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string").repartition(1), shards).collect()
+    assert sorted((r.doc_id, r.shard, r.slot) for r in got) == sorted(
+        (d, *place) for (d, _), place in zip(rows, brute.sharding(rows, shards)))
+    return got
+
+
 def test_a_text_of_many_rows_is_divided(spark):
     rows = [(i % 7, "y" * 300) for i in range(600)] + [(i, f"{i} z" * (i % 9)) for i in range(600)]
-    got = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string"), 8).collect()
+    rows.sort()  # rows with one id and text are numbered as they stand
+    got = sharded(spark, rows, 8)
     size = [sum(r.size for r in got if r.shard == s) for s in range(8)]
     assert sum(size) == sum(len(t) + 1 for _, t in rows) and max(size) - min(size) <= 0.03 * sum(size)
 
 
+def test_equal_texts_share_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RANGES_PER_SHARD", 400)  # boundaries fall between the rows of most pairs
+    pairs = [(i, f"text {i // 2} " + "x" * (i // 2 % 40)) for i in range(900)]
+    few = [(1000 + i, f"copy {i % 3}" + "y" * 900) for i in range(60)]
+    empty = [(2000 + i, "") for i in range(700)]
+    got = sharded(spark, sorted(pairs + few + empty), 4)
+    where = {}
+    for r in got:
+        where.setdefault((r.size, r.text_crc32), set()).add(r.shard)
+    assert all(len(s) == 1 for s in where.values())
+    size = [sum(r.size for r in got if r.shard == s) for s in range(4)]
+    assert max(size) - min(size) <= 0.05 * sum(size)
+
+
 def test_conversations(frame):
     rows = frame("conv_id long, turn long, role string, text string, formatted int",
                  [1, 0, "user", None, 0], [1, 1, "assistant", "", 0], [1, 1, "assistant", "tie <|end|>", 0],

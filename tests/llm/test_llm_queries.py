@@ -93,9 +93,11 @@ def test_sharding(spark, docs):
         slots[row.shard].append(row.slot)
         by_text[text].add(row.shard)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    # a boundary lies at most half a text off its place
+    # a boundary lies at most half a text off its place, and texts of a 64th of a shard are placed first
     assert max(abs(s - sum(size.values()) / 16) for s in size.values()) <= max(len(t.encode()) for _, t in docs) + 1
     assert all(len(s) == 1 for s in by_text.values())
+    plain = brute.sharding(docs, 16)
+    assert {(d, *place) for (d, _), place in zip(docs, plain)} == {(r.doc_id, r.shard, r.slot) for r in got.values()}
 
 
 def test_bpe(spark, docs):
