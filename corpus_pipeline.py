@@ -35,8 +35,7 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): token ids, and the digest of what they decode to."""
-    coded, ids = bpe.encoded(docs.select("doc_id", "text"))
-    back, text = bpe.decoded(coded.select("doc_id", ids), ids)
+    back, ids, text = bpe.round_trip(docs.select("doc_id", "text"))
     return back.select("doc_id", F.size(ids).cast("long").alias("n_tokens"), ids,
                        F.sha2(F.col(text), 256).alias("decoded_sha256"))
 
