@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.components import components
-from terrace.llm.texts import free_name, pieces, values
+from terrace.llm.texts import free_name, giving_back, pieces, values
 from terrace.session import cut_lineage
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -194,7 +194,7 @@ def links(prints: DataFrame, column: str, radius: int = RADIUS, limit: int = TIL
     tiles = _tiles(prints.select(F.col(column).alias("print")), radius, limit)
     return (tiles.repartition("blocks", "value", "s1", "s2")
             .sortWithinPartitions("blocks", "value", "s1", "s2")
-            .mapInArrow(_compare(radius), "a long, b long"))
+            .mapInArrow(giving_back(_compare(radius)), "a long, b long"))
 
 
 def _members(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int,

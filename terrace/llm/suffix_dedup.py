@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.texts import free_name, pieces, utf8
+from terrace.llm.texts import free_name, giving_back, pieces, utf8
 from terrace.session import cut_lineage
 
 LENGTH = 100
@@ -51,7 +51,7 @@ SAMPLED = 400
 #: Different stretches of a run in the sample that make it frequent.
 FREQUENT = 8
 #: Bytes of text for each bucket.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 12 << 20
 #: Stretches with one beginning that a task compares; more are spread by whole windows.
 HOT = 4096
 #: Bytes of text within which a task sets its own repeats aside before it deals the rest.
@@ -203,12 +203,11 @@ def _settle(hot: int, frequent: np.ndarray):
     A frequent run's other stretches lie in other buckets, so all of its stretches are compared.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [b for b in batches if b.num_rows]
+        held = [[c.to_numpy(zero_copy_only=False) for c in b.columns[1:]] for b in batches if b.num_rows]
         if not held:
             return
-        rows = pa.Table.from_batches(held)
-        gone, run_, bytes_, doc, tie, place = (
-            rows.column(c).to_numpy() for c in ("gone", "run", "bytes", "doc", "tie", "place"))
+        held = [list(column) for column in zip(*held)]
+        gone, run_, bytes_, doc, tie, place = (np.concatenate(held.pop(0)) for _ in range(6))
         own = np.flatnonzero(~gone)
         by, again = _later([run_[own], bytes_[own]], [doc[own], tie[own], place[own]])
         by = own[by]
@@ -405,7 +404,7 @@ def _repeated(known: DataFrame, length: int, buckets: int | None, hot: int) -> D
         _deal(length, splitters, frequent, buckets),
         "bucket int, gone boolean, run long, bytes long, doc long, tie long, place long")
     settled = cut_lineage(dealt.repartitionById(buckets, F.col("bucket")).mapInArrow(
-        _settle(hot, frequent), "kind int, doc long, tie long, first long, last long, suffix long, run long"))
+        giving_back(_settle(hot, frequent)), "kind int, doc long, tie long, first long, last long, suffix long, run long"))
 
     def contexts(kind: int) -> DataFrame:
         asked = settled.filter(F.col("kind") == kind).groupBy("doc", "tie").agg(
@@ -415,7 +414,7 @@ def _repeated(known: DataFrame, length: int, buckets: int | None, hot: int) -> D
             "context binary")
 
     compared = (contexts(1).repartition("run").sortWithinPartitions("run")
-                .mapInArrow(_compare(length), "doc long, tie long, first long, last long"))
+                .mapInArrow(giving_back(_compare(length)), "doc long, tie long, first long, last long"))
     found = settled.filter("kind = 0").select("doc", "tie", "first", "last").unionByName(compared)
     if not settled.filter("kind = 2").isEmpty():
         spread = contexts(2).mapInArrow(_spread(length), "said binary, doc long, tie long, first long")

@@ -64,6 +64,14 @@ def give_back() -> None:
         trim(0)
 
 
+def giving_back(run):
+    """A task's function that returns free memory when its rows have ended."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+    return wrapped
+
+
 def per_value(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Sums of `flags` (one for each byte or word) between neighbouring offsets."""
     total = np.zeros(len(flags) + 1, np.int64)
