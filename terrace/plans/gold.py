@@ -33,6 +33,20 @@ def _mean(column: str) -> Column:
     return F.try_divide(F.sum(column).cast("decimal(25,2)"), F.count(column))
 
 
+def transaction_parts() -> list[Column]:
+    """What a group of transactions contributes to the marts; parts of a group add up."""
+    return [F.count("transaction_id").alias("n"),
+            _sum_if(_is("transaction_type", "CREDIT"), "amount").alias("credit"),
+            _sum_if(_is("transaction_type", "DEBIT"), "amount").alias("debit"),
+            F.max("transaction_date").alias("last_date"),
+            F.count_if(F.col("status").isin("FAILED", "REVERSED")).alias("unsuccessful")]
+
+
+def parts_together() -> list[Column]:
+    return [F.sum("n").alias("n"), F.sum("credit").alias("credit"), F.sum("debit").alias("debit"),
+            F.max("last_date").alias("last_date"), F.sum("unsuccessful").alias("unsuccessful")]
+
+
 def account_measures(accounts: DataFrame) -> DataFrame:
     """Per customer, in one pass: accounts, active ones, and the active ones' balances."""
     active = _is("status", "ACTIVE")
@@ -48,16 +62,11 @@ def account_measures(accounts: DataFrame) -> DataFrame:
 def transaction_measures(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Per customer; first per account, so the join sees one row per account.
 
-    Takes the stored fact, or typed transactions that still carry the account's own id.
+    Takes the stored fact, typed transactions that still carry the account's own id, or stored parts.
     """
     key = "account_sk" if "account_sk" in transactions.columns else "account_id"
     per_account = transactions.groupBy(key).agg(
-        F.count("transaction_id").alias("n"),
-        _sum_if(_is("transaction_type", "CREDIT"), "amount").alias("credit"),
-        _sum_if(_is("transaction_type", "DEBIT"), "amount").alias("debit"),
-        F.max("transaction_date").alias("last_date"),
-        F.count_if(F.col("status").isin("FAILED", "REVERSED")).alias("unsuccessful"),
-    )
+        *(parts_together() if "unsuccessful" in transactions.columns else transaction_parts()))
     owner = accounts.select(key, "customer_id")
     return per_account.join(owner, key).groupBy("customer_id").agg(
         F.sum("n").alias("total_transactions"),
@@ -138,14 +147,17 @@ def branch_performance(
     """Branch by month. Account and loan totals are per branch and repeat on each month.
 
     Transactions and loans may come without a resolved branch: they are then added up by account
-    and month, or by branch id, before the branch is looked up.
+    and month, or by branch id, before the branch is looked up. Transactions may come as stored parts.
     """
-    flows = [_sum_if(_is("transaction_type", "CREDIT"), "amount").alias("total_deposits"),
-             _sum_if(_is("transaction_type", "DEBIT"), "amount").alias("total_withdrawals")]
+    stored = "unsuccessful" in transactions.columns
+    flows = [F.sum("credit").alias("total_deposits"), F.sum("debit").alias("total_withdrawals")] if stored else [
+        _sum_if(_is("transaction_type", "CREDIT"), "amount").alias("total_deposits"),
+        _sum_if(_is("transaction_type", "DEBIT"), "amount").alias("total_withdrawals")]
     resolved = "branch_sk" in transactions.columns
     monthly = transactions.groupBy(
         "branch_sk" if resolved else "account_id",
-        C.month_start(F.col("transaction_date")).alias("report_month")).agg(*flows)
+        # A part lies in one month, so any of its days tells it.
+        C.month_start(F.col("last_date" if stored else "transaction_date")).alias("report_month")).agg(*flows)
     keys = branches.select("branch_id", "branch_sk")
     if not resolved:
         route = accounts.select("account_id", "branch_id").join(keys, "branch_id", "left")

@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators import history
+from terrace.operators.rows import drop_known
 from terrace.plans import gold, silver
+from terrace.plans.facts import FactStore
 from terrace.schemas import table_schema
 from terrace.session import cut_lineage
 from terrace.sources import files
-from terrace.sources.tables import append_by_month, write_table
+from terrace.sources.tables import write_table
 
 
 @dataclass(frozen=True)
@@ -57,40 +59,40 @@ def source_to_bronze(
 FACT_RULES = {
     "no id": "transaction_id IS NULL OR trim(transaction_id) = ''",
     "no amount": "amount IS NULL", "no date": "transaction_date IS NULL"}
-MONTH = "transaction_month"
 
 
-def _facts(spark: SparkSession, path: str) -> DataFrame:
-    """The stored transactions, with the month that they are stored by."""
-    schema = table_schema("fact_transaction").add(MONTH, "string")
-    return spark.read.schema(schema).parquet(path)
+def fact_store(spark: SparkSession, path: str) -> FactStore:
+    """The stored transactions, by month and load."""
+    return FactStore(spark, path, table_schema("fact_transaction"), "transaction_id", "transaction_date")
 
 
 def _append_facts(
-    spark: SparkSession, incoming: DataFrame, path: str, rejected: str, first: bool
+    spark: SparkSession, incoming: DataFrame, path: str, rejected: str, load: str | None
 ) -> dict[str, int]:
     """Store valid transactions that are not stored yet, one row per id, and set aside the others."""
-    month = F.date_format(F.trunc("transaction_date", "month"), "yyyy-MM")
     rules = {name: F.expr(rule) for name, rule in FACT_RULES.items()}
     valid, broken = history.quarantine(cut_lineage(incoming), rules)
-    monthly = valid.withColumn(MONTH, month)
-    newest = [F.col("transaction_date").desc()]
-    fresh = (history.dedup_latest(monthly, ["transaction_id"], newest) if first else
-             history.append_unseen(_facts(spark, path), monthly, "transaction_id", MONTH, newest))
-    fresh = cut_lineage(fresh)  # what is to be added must not be read while it is being added
-    return {"fact_transaction": append_by_month(fresh.drop(MONTH), path, "transaction_date", MONTH),
-            "quarantine_transaction": write_table(broken, rejected)}
+    added = fact_store(spark, path).add(valid, load, [F.col("transaction_date").desc()])
+    return {"fact_transaction": added, "quarantine_transaction": write_table(broken, rejected)}
+
+
+def _longer_calendar(spark: SparkSession, calendar: DataFrame, rows: DataFrame) -> DataFrame:
+    """The stored calendar, with the days of all years up to those of the rows; stored days stay as they are."""
+    both = silver.date_bounds(calendar, "full_date").unionByName(silver.date_bounds(rows, "transaction_date"))
+    span = both.agg(F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"))
+    return calendar.unionByName(drop_known(silver.dim_date(span), calendar, ["date_sk"]))
 
 
 def bronze_to_silver(
     spark: SparkSession, bronze: str, target: str, as_of: date | str,
     effective: date | str | None = None, loaded_at: datetime | None = None,
-    facts: str | None = None, years: tuple[int, int] | None = None,
+    facts: str | None = None, years: tuple[int, int] | None = None, load: str | None = None,
 ) -> dict[str, int]:
     """The first load. Dimensions first; the facts look keys up in the stored dimensions.
 
     `facts` is the folder of the transactions, which later loads add to; by default it lies in
-    `target`. `years` bounds the calendar; without it, the transactions do.
+    `target`. `years` bounds the calendar; without it, the transactions do. `load` names the load; one
+    that is repeated under its name adds no transactions.
     """
     facts = facts or f"{target}/fact_transaction"
 
@@ -110,24 +112,25 @@ def bronze_to_silver(
     products = store("dim_product", silver.dim_product(raw("product_types"), loaded_at))
     written |= _append_facts(spark, silver.fact_transaction(
         raw("transactions"), accounts, customers, branches, loaded_at), facts,
-        f"{target}/quarantine_transaction", first=True)
+        f"{target}/quarantine_transaction", load)
     store("fact_loan", silver.fact_loan(raw("loans"), customers, branches, products, loaded_at))
     bounds = silver.whole_years(spark, *years) if years else silver.date_bounds(
-        _facts(spark, facts), "transaction_date")
+        fact_store(spark, facts).rows(), "transaction_date")
     store("dim_date", silver.dim_date(bounds))
     return written
 
 
 def update_silver(
     spark: SparkSession, bronze: str, current: str, target: str, facts: str,
-    as_of: date | str, effective: date | str, loaded_at: datetime | None = None,
+    as_of: date | str, effective: date | str, loaded_at: datetime | None = None, load: str | None = None,
 ) -> dict[str, int]:
     """One more load onto the layer stored in `current`; the new dimensions and loans go to `target`.
 
     `bronze` holds the raw tables of this load. Customers are merged into their versions, valid from
     `effective`; accounts, branches and products are upserted; of loans the latest state wins.
-    Transactions are added to `facts` where their ids are not there yet, in the months that they
-    touch. Loading the same again changes nothing.
+    Transactions are added to `facts` where their ids are not there yet, under whatever month, in the
+    months that they touch, and the calendar is extended to them. Loading the same again changes
+    nothing.
     """
     def raw(entity: str) -> DataFrame:
         return files.scan_parquet(spark, bronze, f"bronze_{entity}")
@@ -150,9 +153,10 @@ def update_silver(
     products = upsert("dim_product", silver.dim_product(raw("product_types"), loaded_at), "product_id")
     written |= _append_facts(spark, silver.fact_transaction(
         raw("transactions"), accounts, customers, branches, loaded_at), facts,
-        f"{target}/quarantine_transaction", first=False)
+        f"{target}/quarantine_transaction", load := load or uuid.uuid4().hex)
     upsert("fact_loan", silver.fact_loan(raw("loans"), customers, branches, products, loaded_at), "loan_id")
-    store("dim_date", files.scan_parquet(spark, current, "dim_date"))
+    store("dim_date", _longer_calendar(
+        spark, files.scan_parquet(spark, current, "dim_date"), fact_store(spark, facts).staged(load)))
     return written
 
 
@@ -164,7 +168,7 @@ def silver_to_gold(
         return files.scan_parquet(spark, source, name)
 
     customers, accounts, branches = map(table, ("dim_customer", "dim_account", "dim_branch"))
-    transactions = _facts(spark, facts or f"{source}/fact_transaction").drop(MONTH)
+    transactions = fact_store(spark, facts or f"{source}/fact_transaction").rows()
     loans = table("fact_loan")
     marts: Mapping[str, DataFrame] = {
         "gold_customer_360": gold.customer_360(

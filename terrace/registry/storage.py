@@ -6,12 +6,15 @@ JDBC is not registered: it needs a database that executors can reach.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.plans.jobs import Landing, bronze_to_silver, source_to_bronze, update_silver
+from terrace.plans.jobs import Landing, bronze_to_silver, fact_store, source_to_bronze, update_silver
+from terrace.plans.refresh import mart, refresh_gold
 from terrace.registry.common import Tables, query
-from terrace.registry.layers_sql import AS_OF, FIRST_DAY, SECOND_DAY, columns_of
+from terrace.registry.layers_sql import AS_OF, FIRST_DAY, LAYERS, SECOND_DAY, columns_of
 from terrace.schemas import BRONZE_COLUMNS, GOLD_DDL, SILVER_DDL
 from terrace.session import new_folder
 from terrace.sources import files, tables
@@ -228,6 +231,77 @@ def job_incremental_silver(t: Tables) -> DataFrame:
         "n_fact_ids": stored.select(F.count_distinct("transaction_id")).scalar()})
 
 
+_MARTS = {
+    "gold_customer_360": (
+        "customer_id full_name city state customer_since last_transaction_date customer_segment",
+        "total_accounts active_accounts total_balance avg_balance total_transactions total_credit_amount "
+        "total_debit_amount active_loans total_loan_outstanding risk_score"),
+    "gold_branch_performance": (
+        "branch_id branch_name city report_month",
+        "total_customers total_accounts total_deposits total_withdrawals net_flow total_loans_disbursed "
+        "active_loans npa_amount"),
+    "gold_daily_txn_summary": (
+        "transaction_date channel transaction_type",
+        "total_count success_count failed_count total_amount avg_amount max_amount min_amount"),
+    "gold_loan_portfolio": (
+        "loan_type report_month",
+        "total_loans active_loans defaulted_loans total_principal total_outstanding avg_interest_rate "
+        "avg_tenure_months npa_ratio")}
+
+
+def _tall_sql(mart: str, source: str) -> str:
+    keys, measures = (part.split() for part in _MARTS[mart])
+    return f"""
+  SELECT '{mart}' AS mart, concat_ws('|', {', '.join(f"cast({k} as varchar)" for k in keys)}) AS row_key,
+    unnest([{', '.join(f"'{m}'" for m in measures)}]) AS measure,
+    unnest([{', '.join(f"cast({m} as double)" for m in measures)}]) AS value FROM {source}"""
+
+
+def _tall(df: DataFrame, mart: str) -> DataFrame:
+    keys, measures = (part.split() for part in _MARTS[mart])
+    pairs = ", ".join(f"'{m}', cast({m} as double)" for m in measures)
+    return df.selectExpr(
+        f"'{mart}' AS mart", f"concat_ws('|', {', '.join(f'cast({k} as string)' for k in keys)}) AS row_key",
+        f"stack({len(measures)}, {pairs}) AS (measure, value)")
+
+
+_ONCE = {"s_fact_transaction": "once", "g_transactions": "once_by_customer", "s_dim_customer": "v_merged"}
+
+
+def _of_once(layer: str) -> str:
+    text = LAYERS[layer]
+    for name, other in _ONCE.items():
+        text = text.replace(name, other)
+    return text
+
+
+@query("job_incremental_gold", f"""
+  WITH once AS (SELECT * FROM s_fact_transaction QUALIFY row_number() OVER (PARTITION BY transaction_id
+    ORDER BY transaction_date < date '{TRANSACTION_CUTOFF}' DESC, transaction_date DESC) = 1),
+  once_by_customer AS ({_of_once('g_transactions')}), people AS ({_of_once('g_customer_360')}),
+  offices AS ({_of_once('g_branch_performance')}), days AS ({_of_once('g_daily_txn_summary')})
+  {_tall_sql('gold_customer_360', 'people')} UNION ALL {_tall_sql('gold_branch_performance', 'offices')}
+  UNION ALL {_tall_sql('gold_daily_txn_summary', 'days')}
+  UNION ALL {_tall_sql('gold_loan_portfolio', 'g_loan_portfolio')}""")
+def job_incremental_gold(t: Tables) -> DataFrame:
+    """Marts of day one, brought up to day two, which adds transactions, late ones among them, and loans."""
+    root = new_folder(t.spark, "refresh")
+    facts = fact_store(t.spark, f"{root}/fact_transaction")
+    first = {"customers": t.raw("customers").filter(F.col("customer_since") < FIRST_LOAD),
+             "transactions": t.raw("transactions").filter(F.col("transaction_date") < TRANSACTION_CUTOFF),
+             "loans": t.raw("loans").filter(F.col("disburse_date") < TRANSACTION_CUTOFF)}
+    for day, changed in (("one", first), ("two", {"customers": t.raw("customers_day2")})):
+        for entity in BRONZE_COLUMNS:
+            tables.write_table(changed.get(entity, t.raw(entity)), f"{root}/{day}/bronze_{entity}")
+    silver = [f"{root}/silver1", f"{root}/silver2"]
+    bronze_to_silver(t.spark, f"{root}/one", silver[0], AS_OF, FIRST_DAY, facts=facts.path, load="one")
+    refresh_gold(t.spark, silver[0], facts, f"{root}/state", f"{root}/gold1")
+    update_silver(t.spark, f"{root}/two", silver[0], silver[1], facts.path, AS_OF, SECOND_DAY, load="two")
+    refresh_gold(t.spark, silver[1], facts, f"{root}/state", f"{root}/gold2", ["two"], silver[0])
+    marts = [_tall(mart(t.spark, f"{root}/state", f"{root}/gold2", name), name) for name in _MARTS]
+    return reduce(DataFrame.unionByName, marts)
+
+
 @query("ingest_incremental_stream", f"""
   SELECT {_text_columns('transactions')},
     CASE WHEN transaction_date >= '{TRANSACTION_CUTOFF}' THEN 'second' ELSE 'first' END AS _batch_id
