@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrace.plans.facts import FactStore
 from terrace.plans.jobs import Landing, bronze_to_silver, fact_store, source_to_bronze, update_silver
 from terrace.plans.refresh import mart, refresh_gold
 from terrace.registry.common import Tables, query
@@ -335,6 +336,33 @@ def stream_dedup(t: Tables) -> DataFrame:
         "event_id", "user_id", "event_type", "value")
 
 
+_LATE = "12 days"
+_FIRST_LOTS = "2024-01-10", "2024-01-20"
+
+
+@query("stream_late_rows", f"""
+  SELECT event_id, user_id, event_type, value, CASE WHEN event_id % 10 = 0 AND ts < (
+      SELECT max(ts) - INTERVAL {_LATE} FROM events
+      WHERE event_id % 10 <> 0 AND ts < timestamp '{_FIRST_LOTS[1]}') THEN 'late' ELSE 'kept' END AS side
+  FROM events""")
+def stream_late_rows(t: Tables) -> DataFrame:
+    """Three lots by time; every tenth event comes with the last one, which also repeats all clicks."""
+    root = new_folder(t.spark, "late")
+    events = t.given("events").withColumn("ts", F.col("ts").cast("timestamp")).select(
+        "event_id", "user_id", "event_type", "value", "ts")
+    kept, late = (FactStore(t.spark, f"{root}/{n}", events.schema, "event_id", "ts") for n in ("kept", "late"))
+    tenth, before = F.col("event_id") % 10 == 0, [F.col("ts") < d for d in _FIRST_LOTS]
+    lots = [events.filter(~tenth & before[0]), events.filter(~tenth & ~before[0] & before[1]),
+            events.filter(tenth | ~before[1]).unionByName(events.filter("event_type = 'click'"))]
+    for lot in lots:
+        lot.write.mode("append").parquet(f"{root}/arriving")
+        arriving = streams.read_stream(t.spark, f"{root}/arriving", events.schema)
+        streams.finish(streams.store_with_late(
+            arriving, kept, late, "ts", _LATE, f"{root}/progress", f"{root}/checkpoint"))
+    sides = [store.rows().withColumn("side", F.lit(name)) for store, name in ((kept, "kept"), (late, "late"))]
+    return sides[0].unionByName(sides[1]).select("event_id", "user_id", "event_type", "value", "side")
+
+
 @query("stream_decision_rule", """
   SELECT series_id, reading_id, CASE WHEN fineness > 8.0 THEN 'increase separator speed'
     WHEN fineness < 6.5 THEN 'decrease separator fan' ELSE 'hold' END AS advice

@@ -10,7 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from terrace.operators.series import decision
+from terrace.plans.facts import FactStore, exists
 from terrace.schemas import bronze_schema
+from terrace.session import cut_lineage
 
 
 def ingest_new_files(
@@ -31,8 +33,10 @@ def ingest_new_files(
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def read_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(path)
+def read_stream(spark: SparkSession, path: str, schema: StructType, files: int | None = None) -> DataFrame:
+    """Parquet files as they arrive; at most `files` of them in a micro-batch."""
+    reader = spark.readStream.schema(schema)
+    return (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(path)
 
 
 def file_block() -> Column:
@@ -70,6 +74,39 @@ def store_all_available(
     finish(query, timeout)
 
 
+def store_with_late(
+    arriving: DataFrame, kept: FactStore, late: FactStore, ts: str, lateness: str, progress: str,
+    checkpoint: str,
+) -> StreamingQuery:
+    """Store each row once: on time in `kept`, behind the watermark in `late`. Nothing is dropped.
+
+    The watermark of a micro-batch is the newest time of all earlier ones less `lateness`, an interval
+    such as `2 days`; it is stored in `progress` with the batch's number. Both stores know a load by its
+    name, here the batch's number, so a batch that is run again after a crash adds nothing twice.
+    Copies are found by id among all stored rows, also where the first one came late.
+    """
+    spark = arriving.sparkSession
+
+    def newest_before(batch: int):
+        if not exists(spark, progress):
+            return None
+        return spark.read.schema("newest timestamp, batch int").parquet(progress).filter(
+            F.col("batch") < batch).agg(F.max("newest") - F.expr(f"INTERVAL {lateness}")).first()[0]
+
+    def store(rows: DataFrame, batch: int) -> None:
+        rows = cut_lineage(rows)  # read for both stores and for the newest time
+        mark = newest_before(batch)
+        behind = F.lit(False) if mark is None else F.col(ts) < F.lit(mark)
+        kept.add(rows.filter(~behind), f"batch{batch}")
+        # A copy of what is kept isn't late.
+        late.add(kept.unseen(rows.filter(behind)), f"batch{batch}")
+        (rows.agg(F.max(ts).cast("timestamp").alias("newest")).withColumn("batch", F.lit(batch))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(progress))
+
+    return (arriving.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def finish(query: StreamingQuery, timeout: int | None = None) -> None:
     if timeout is None:
         query.awaitTermination()
