@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.operators import models, series
 from terrace.registry.common import Tables, query
+from terrace.session import cut_lineage, new_folder
 from terrace.streaming.streams import advise
 
 KEYS, ORDER = ["series_id"], ["reading_ts", "reading_id"]
@@ -229,6 +231,55 @@ def stacking(t: Tables) -> DataFrame:
         {"ridge": models.ridge(train, LABEL), "boosted": _boosted(train)}, folds=5), LABEL)
 
 
+# One feature, whose weights have closed forms; the penalties are strong enough to be seen.
+_PENALTIES = {"ridge": 5000.0, "lasso": 0.5, "elastic_net": 0.5}
+
+
+@query("ml_linear_univariate", f"""
+  WITH train AS (SELECT mill_feed_rate AS x, fineness AS y FROM b_sensor_readings
+    WHERE reading_ts < timestamp '{BOUNDARY}' AND sound_level >= 0.1),
+  sums AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS sxx, covar_pop(x, y) AS sxy FROM train),
+  weights AS (
+    SELECT 'ridge' AS model, sxy / (sxx + {_PENALTIES['ridge']} / n) AS w, mx, my FROM sums
+    UNION ALL SELECT 'lasso', sign(sxy) * greatest(abs(sxy) - {_PENALTIES['lasso']}, 0) / sxx, mx, my FROM sums
+    UNION ALL SELECT 'elastic_net', sign(sxy) * greatest(abs(sxy) - {_PENALTIES['elastic_net'] / 2}, 0)
+      / (sxx + {_PENALTIES['elastic_net'] / 2}), mx, my FROM sums)
+  SELECT model, round(w, 4) AS weight, round(my - w * mx, 4) AS intercept, round(mae, 4) AS mae
+  FROM weights w JOIN (
+    SELECT model, avg(abs(fineness - (my + w * (mill_feed_rate - mx)))) AS mae
+    FROM b_sensor_readings, weights WHERE reading_ts >= timestamp '{BOUNDARY}' GROUP BY model) e USING (model)""")
+def linear_univariate(t: Tables) -> DataFrame:
+    train, test = series.time_split(t.readings, "reading_ts", BOUNDARY)
+    vector = VectorAssembler(inputCols=["mill_feed_rate"], outputCol="features")
+    train, test = (cut_lineage(vector.transform(df).select(LABEL, "features")) for df in (
+        series.outlier_filter(train, "sound_level", 0.1), test))
+    builds = {"ridge": models.ridge, "lasso": models.lasso, "elastic_net": models.elastic_net}
+    fits = {n: build(train, LABEL, _PENALTIES[n]).fit(train) for n, build in builds.items()}
+    measured = models.metrics_by_model({n: fit.transform(test) for n, fit in fits.items()}, LABEL)
+    weights = t.spark.createDataFrame(
+        [(n, float(fit.coefficients[0]), float(fit.intercept)) for n, fit in fits.items()],
+        "model string, weight double, intercept double")
+    return weights.join(measured.select("model", "mae"), "model").select(
+        "model", *(F.round(c, 4).alias(c) for c in ("weight", "intercept", "mae")))
+
+
+@query("ml_leaderboard_models")
+def leaderboard_models(t: Tables) -> DataFrame:
+    """The fitted models by accuracy: linear ones, forest, boosting, and the stack of two of them."""
+    train, test = _prepared(t)
+    root, ids = new_folder(t.spark, "models"), ["series_id", "reading_id"]
+    train, test = cut_lineage(train), cut_lineage(test)
+    stacked = models.stack(train, test, LABEL, ids, {
+        "ridge": models.ridge(train, LABEL), "boosted": _boosted(train)}, store=f"{root}/stack")
+    others = models.scored_side_by_side(train, test, ids, {
+        "lasso": models.lasso(train, LABEL), "elastic_net": models.elastic_net(train, LABEL),
+        "random_forest": _forest(train)}, f"{root}/others")
+    scored = stacked.withColumnRenamed("prediction", "stacked").join(others, ids)
+    names = ["ridge", "lasso", "elastic_net", "random_forest", "boosted", "stacked"]
+    return models.leaderboard(models.metrics_by_model(
+        {n: scored.select(LABEL, F.col(n).alias("prediction")) for n in names}, LABEL))
+
+
 # Persistence forecast: the previous reading's label predicts the next one.
 _FORECAST = "SELECT fineness, " + _over("lag(fineness)") + " AS prediction FROM b_sensor_readings"
 

@@ -10,9 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from terrace.operators.series import decision
-from terrace.plans.facts import FactStore, exists
+from terrace.plans.facts import FactStore
 from terrace.schemas import bronze_schema
-from terrace.session import cut_lineage
+from terrace.session import cut_lineage, exists
 
 
 def ingest_new_files(

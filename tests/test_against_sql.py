@@ -9,8 +9,9 @@ from tools.compare import check, connect
 
 ORACLE = registry.ORACLE
 QUERIES = {name: registry.runnable(name) for name in registry.QUERIES}
-# Fitting trees takes long; test_models covers these on small frames.
-SLOW = {"ml_random_forest", "ml_gbt", "ml_stacking", "ml_feature_importance", "ml_linear_models"}
+# Fitted models without a closed form: test_models runs them once.
+SLOW = {"ml_random_forest", "ml_gbt", "ml_stacking", "ml_feature_importance", "ml_linear_models",
+        "ml_leaderboard_models"}
 
 
 @pytest.fixture(scope="module")

@@ -3,8 +3,10 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from terrace import registry
 from terrace.operators import models
 from terrace.registry import series as registered
+from tests.conftest import SMALL
 
 N = 300
 
@@ -87,5 +89,51 @@ def test_stacking_beats_its_weak_part_and_folds_are_stable(data):
     assert df.select(fold.alias("f")).agg(F.count_distinct("f")).first()[0] == 3
 
 
+def test_a_stack_goes_on_where_it_was(data, tmp_path, monkeypatch):
+    _, _, df = data
+    train, test, store = df.filter("id < 200"), df.filter("id >= 200"), str(tmp_path / "stack")
+    fitted, whole = [], models._step
+
+    def step(rest, scored, ids, name, estimator, place):
+        run = whole(rest, scored, ids, name, estimator, place)
+
+        def counted():
+            if place.endswith("/1") and not fitted.count("late"):
+                raise RuntimeError("the driver is gone")
+            before = models.exists(rest.sparkSession, place)
+            run()
+            fitted.append(before)
+        return counted
+    monkeypatch.setattr(models, "_step", step)
+    build = lambda: models.stack(train, test, "y", ["id"], {"a": models.ridge(train, "y"), "b": models.ridge(
+        train, "y", 50.0)}, folds=3, store=store, workers=3)
+    with pytest.raises(RuntimeError):
+        build()
+    assert fitted == [False] * 6
+    fitted[:] = ["late"]
+    first = rows(build().select("id", F.round("prediction", 9)))
+    assert sorted(fitted[1:]) == [False] * 2 + [True] * 6
+    monkeypatch.undo()
+    again = models.stack(train, test, "y", ["id"], {"a": models.ridge(train, "y"), "b": models.ridge(train, "y", 50.0)}, folds=3)
+    assert rows(again.select("id", F.round("prediction", 9))) == first
+
+
+def test_registered_models_on_the_small_tables(spark):
+    """All registered fits once: each beats the constant, and the leaderboard has them in order."""
+    def run(name):
+        return registry.runnable(name)(spark, SMALL).collect()
+    board = run("ml_leaderboard_models")
+    assert [r.place for r in board] == list(range(1, 7))
+    accuracy = {r.model: r.accuracy for r in board}
+    assert list(accuracy.values()) == sorted(accuracy.values(), reverse=True)
+    assert accuracy["stacked"] >= accuracy["boosted"] > 90 and accuracy["random_forest"] > 90
+    assert {r.model: round(r.accuracy, 6) for r in run("ml_linear_models")} == {
+        m: round(accuracy[m], 6) for m in ("ridge", "lasso", "elastic_net")}
+    # a forest draws its rows by partition, so another layout of the rows gives other trees
+    assert abs(run("ml_random_forest")[0].accuracy - accuracy["random_forest"]) < 0.5
+    top = run("ml_feature_importance")
+    assert len(top) == 15 and top[0].feature == "sound_level"
+
+
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
