@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
-from terrace.operators import rows
+from terrace.operators import rows, sketches
 from terrace.plans.silver import date_bounds
 from terrace.registry.common import AS_OF, Tables, query
 from terrace.registry.layers_sql import cents, day, dec, share, title
 from terrace.schemas import CHANNELS, EMAIL_PATTERN, PHONE_PATTERN
+from terrace.session import new_folder
 from terrace.sources.files import add_audit
 
 # --- projections ---------------------------------------------------------------------------
@@ -265,6 +266,24 @@ def agg_quantiles(t: Tables) -> DataFrame:
     return found.toDF("l_returnflag", "q1", "median", "q3")
 
 
+_SHARES = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@query("agg_sketches", f"""
+  SELECT channel, count(*) AS n, count(DISTINCT account_id) AS exact_distinct, true AS distinct_within,
+    true AS quantiles_within FROM (SELECT upper(trim(channel)) AS channel, account_id FROM b_transactions)
+  GROUP BY channel""")
+def stored_sketches(t: Tables) -> DataFrame:
+    """Sketches stored by day, merged by channel over all days, against the exact answers."""
+    rows = t.typed_transactions.select("transaction_date", "channel", "account_id", "amount")
+    path = new_folder(t.spark, "sketches")
+    sketches.store_daily(rows, path, "transaction_date", ["channel"], ["account_id"], ["amount"])
+    merged = sketches.merged(t.spark.read.parquet(path), ["channel"]).select(
+        "channel", sketches.distinct_of("account_id").alias("distinct"),
+        sketches.quantiles_of("amount", _SHARES).alias("quantiles"))
+    return sketches.within_bounds(merged, rows, ["channel"], "account_id", "amount", _SHARES)
+
+
 @query("agg_derived_ratio", f"""
   SELECT branch_id, count(*) AS accounts, count(*) FILTER (WHERE status = 'CLOSED') AS closed,
     {cents("(count(*) FILTER (WHERE status = 'CLOSED')) * 10000", 'count(*)')} AS closed_pct,

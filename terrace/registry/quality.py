@@ -7,6 +7,7 @@ Several checks run on tables with damaged rows, so that failing results are comp
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from terrace.functions import columns as C
 from terrace.operators import quality as Q
 from terrace.operators.compare import compare_cells
+from terrace.operators.lineage import Hop, patterns, trace
 from terrace.registry.common import AS_OF, SECOND_DAY, Tables, query
-from terrace.registry.layers_sql import share, title
+from terrace.registry.layers_sql import day, dec, share, title
 from terrace.schemas import (ACCOUNT_TYPES, BRONZE_COLUMNS, CHANNELS, EMAIL_PATTERN, GENDERS,
                              LOAN_STATUSES, LOAN_TYPES, PAN_PATTERN, PHONE_PATTERN, SEGMENTS,
                              TRANSACTION_STATUSES, TRANSACTION_TYPES, TWELVE_DIGITS, table_schema)
@@ -683,6 +685,95 @@ def lineage(t: Tables) -> DataFrame:
 _COMPARED = ["city", "state", "phone", "is_active"]
 
 
+_LINEAGE = {
+    # every 50th customer has no mart row, every 60th shows another city there
+    "customers": (["raw", "silver", "gold"], f"""
+      SELECT r.customer_id AS k, true AS p0, s.customer_id IS NOT NULL AS p1, s.full_name IS NOT DISTINCT FROM
+        {title('r.first_name')} || ' ' || {title('r.last_name')} AND s.email IS NOT DISTINCT FROM lower(trim(r.email)) AS e1,
+        g.customer_id IS NOT NULL AS p2, g.city IS NOT DISTINCT FROM s.city AND g.full_name IS NOT DISTINCT FROM s.full_name AS e2
+      FROM b_customers r LEFT JOIN s_dim_customer s ON s.customer_id = r.customer_id
+        LEFT JOIN (SELECT customer_id, full_name, CASE WHEN {{n}} % 60 = 0 THEN '?' ELSE city END AS city
+                   FROM g_customer_360 WHERE {{n}} % 50 <> 0) g ON g.customer_id = s.customer_id"""),
+    "transactions": (["raw", "silver"], f"""
+      SELECT transaction_id AS k, true AS p0, s.transaction_id IS NOT NULL AS p1,
+        bool_or(s.amount IS NOT DISTINCT FROM {dec('r.amount')} AND s.transaction_date IS NOT DISTINCT FROM
+          {day('r.transaction_date')} AND s.channel IS NOT DISTINCT FROM upper(trim(r.channel))) AS e1
+      FROM b_transactions r LEFT JOIN (SELECT transaction_id, transaction_date, channel,
+          CASE WHEN amount < 2000 THEN -amount ELSE amount END AS amount FROM s_fact_transaction) s USING (transaction_id)
+      GROUP BY ALL"""),
+    # the mart lacks one channel
+    "transaction days": (["silver", "gold"], """
+      SELECT s.k, true AS p0, g.transaction_date IS NOT NULL AS p1,
+        g.total_count IS NOT DISTINCT FROM s.n AND g.total_amount IS NOT DISTINCT FROM s.amount AS e1
+      FROM (SELECT transaction_date, channel, transaction_type, transaction_date || channel || transaction_type AS k,
+              count(*) AS n, sum(amount) AS amount FROM s_fact_transaction GROUP BY ALL) s
+        LEFT JOIN (SELECT * FROM g_daily_txn_summary WHERE channel <> 'UPI') g USING (transaction_date, channel, transaction_type)"""),
+    "loans": (["raw", "silver"], f"""
+      SELECT r.loan_id AS k, true AS p0, s.loan_id IS NOT NULL AS p1,
+        s.principal_amount IS NOT DISTINCT FROM {dec('r.principal_amount')} AND s.status IS NOT DISTINCT FROM
+          CASE WHEN upper(trim(r.status)) = 'DEFAULT' THEN 'CLOSED' ELSE upper(trim(r.status)) END AS e1
+      FROM b_loans r LEFT JOIN s_fact_loan s USING (loan_id)"""),
+    "branches": (["raw", "silver", "gold"], f"""
+      SELECT r.branch_id AS k, true AS p0, s.branch_id IS NOT NULL AS p1,
+        s.branch_name IS NOT DISTINCT FROM trim(r.branch_name) AS e1, g.branch_id IS NOT NULL AS p2,
+        g.city IS NOT DISTINCT FROM s.city AS e2
+      FROM b_branches r LEFT JOIN s_dim_branch s ON s.branch_id = r.branch_id
+        LEFT JOIN (SELECT DISTINCT branch_id, city FROM g_branch_performance) g ON g.branch_id = s.branch_id""")}
+
+
+def _lineage_sql() -> str:
+    parts = []
+    for entity, (names, sql) in _LINEAGE.items():
+        words = [f"'{names[0]}='"] + [
+            f"CASE WHEN p{i} AND e{i} THEN '{n}=' WHEN p{i} THEN '{n}' END" for i, n in enumerate(names) if i]
+        number = "cast(substring(customer_id, 5) as bigint)"
+        parts.append(f"""SELECT '{entity}' AS entity, concat_ws(' ', {', '.join(words)}) AS pattern,
+    count(*) AS keys FROM ({sql.replace('{n}', number)}) GROUP BY ALL""")
+    return " UNION ALL ".join(parts)
+
+
+@query("dq_lineage_bits", _lineage_sql())
+def lineage_bits(t: Tables) -> DataFrame:
+    """All keys of five entities from layer to layer; some hops are damaged on purpose."""
+    col, number = F.col, F.substring("customer_id", 5, 20).cast("bigint")
+    name = lambda c: F.initcap(F.trim(col(c)))
+    upper = lambda c: F.upper(F.trim(col(c)))
+    mart = t.customer_360.filter(number % 50 != 0).withColumn(
+        "city", F.when(number % 60 == 0, "?").otherwise(col("city")))
+    day = F.concat(col("transaction_date").cast("string"), col("channel"), col("transaction_type"))
+    money = lambda c: col(c).cast("decimal(18,2)")
+    facts = t.typed_transactions
+    days = facts.groupBy("transaction_date", "channel", "transaction_type").agg(
+        F.count("*").alias("n"), F.sum("amount").alias("amount"))
+    traced = {
+        "customers": [
+            Hop("raw", t.raw("customers"), col("customer_id"), expected=[
+                F.concat_ws(" ", name("first_name"), name("last_name")), F.lower(F.trim("email"))]),
+            Hop("silver", t.customers, col("customer_id"), [col("full_name"), col("email")],
+                [col("full_name"), col("city")]),
+            Hop("gold", mart, col("customer_id"), [col("full_name"), col("city")])],
+        "transactions": [
+            Hop("raw", t.raw("transactions"), col("transaction_id"), expected=[
+                C.tolerant_cast("amount", "decimal(15,2)"), F.try_to_date("transaction_date", "yyyy-MM-dd"), upper("channel")]),
+            Hop("silver", facts, col("transaction_id"), [
+                F.when(col("amount") < 2000, -col("amount")).otherwise(col("amount")).cast("decimal(15,2)"),
+                col("transaction_date"), col("channel")])],
+        "transaction days": [
+            Hop("silver", days, day, expected=[col("n"), money("amount")]),
+            Hop("gold", t.daily_summary.filter("channel <> 'UPI'"), day, [col("total_count"), money("total_amount")])],
+        "loans": [
+            Hop("raw", t.raw("loans"), col("loan_id"), expected=[
+                C.tolerant_cast("principal_amount", "decimal(15,2)"),
+                F.when(upper("status") == "DEFAULT", "CLOSED").otherwise(upper("status"))]),
+            Hop("silver", t.typed_loans, col("loan_id"), [col("principal_amount"), col("status")])],
+        "branches": [
+            Hop("raw", t.raw("branches"), col("branch_id"), expected=[F.trim("branch_name")]),
+            Hop("silver", t.branches, col("branch_id"), [col("branch_name")], [col("city")]),
+            Hop("gold", t.branch_performance, col("branch_id"), [col("city")])]}
+    return reduce(DataFrame.unionByName, (
+        patterns(trace(hops), [h.name for h in hops], entity) for entity, hops in traced.items()))
+
+
 @query("dq_file_compare", "WITH n AS (SELECT DISTINCT * FROM b_customers_day2) " + _all(
     *(f"SELECT customer_id, '{c}' AS column_name, o.{c} AS left_value, n.{c} AS right_value, "
       "'different' AS finding FROM b_first_load o JOIN n USING (customer_id) "

@@ -18,7 +18,7 @@ from terrace.registry.common import Tables, query
 from terrace.registry.layers_sql import AS_OF, FIRST_DAY, LAYERS, SECOND_DAY, columns_of
 from terrace.schemas import BRONZE_COLUMNS, GOLD_DDL, SILVER_DDL
 from terrace.session import new_folder
-from terrace.sources import files, tables
+from terrace.sources import files, history, tables
 from terrace.sources.given import FIRST_LOAD, TRANSACTION_CUTOFF
 from terrace.streaming import streams
 
@@ -143,6 +143,56 @@ def catalog_columns(t: Tables) -> DataFrame:
     return tables.catalog_columns({name: t.given(name) for name in _GIVEN})
 
 
+_LOADED = {
+    "first": ("SELECT * FROM orders", "SELECT * FROM nation"),
+    "second": ("SELECT o_orderkey, o_orderdate, cast(o_totalprice as varchar) AS o_totalprice, o_custkey, "
+               "o_orderstatus, o_orderkey % 7 AS o_channel FROM orders", "SELECT * FROM nation")}
+_KINDS = """CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+    WHEN 'VARCHAR' THEN 'string' ELSE 'timestamp_ntz' END"""
+
+
+def _history_sql() -> str:
+    known = {"first": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+             "second": "o_orderkey o_orderdate o_totalprice o_custkey o_orderstatus o_channel"}
+    parts = []
+    for load, (sql, _) in _LOADED.items():
+        counts = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS known_values FROM ({sql})"
+                                    for c in known[load].split())
+        parts.append(f"""{load}_load AS (
+    SELECT column_name, row_number() OVER () AS position, {_KINDS} AS data_type, known_values
+    FROM (SELECT column_name, column_type FROM (DESCRIBE {sql})) JOIN ({counts}) USING (column_name))""")
+    # DESCRIBE keeps the order of the columns, but a join need not: positions come from the list.
+    order = {load: "list_position([" + ", ".join(f"'{c}'" for c in names.split()) + "], column_name)"
+             for load, names in known.items()}
+    return f"""
+  WITH {', '.join(parts)}, o AS (SELECT * REPLACE ({order['first']} AS position) FROM first_load),
+  n AS (SELECT * REPLACE ({order['second']} AS position) FROM second_load),
+  both_loads AS (
+    SELECT coalesce(o.column_name, n.column_name) AS column_name,
+      CASE WHEN o.column_name IS NULL THEN 'added' WHEN n.column_name IS NULL THEN 'dropped'
+        WHEN o.data_type <> n.data_type THEN 'retyped' WHEN o.position <> n.position THEN 'moved' END AS change,
+      o.data_type AS ot, n.data_type AS nt, o.position AS op, n.position AS np,
+      coalesce(n.known_values, o.known_values) AS known_values
+    FROM o FULL JOIN n ON o.column_name = n.column_name)
+  SELECT 'orders' AS table_name, column_name, change,
+    CASE WHEN change = 'moved' THEN cast(op as varchar) ELSE ot END AS old,
+    CASE WHEN change = 'moved' THEN cast(np as varchar) ELSE nt END AS new, known_values, 'second' AS load_id
+  FROM both_loads WHERE change IS NOT NULL"""
+
+
+@query("dq_schema_history", _history_sql())
+def schema_history(t: Tables) -> DataFrame:
+    """Two loads of two tables; of one, columns have been added, dropped, retyped and moved."""
+    path = new_folder(t.spark, "schemas")
+    orders, nation = t.given("orders"), t.given("nation")
+    later = orders.select(
+        "o_orderkey", "o_orderdate", F.col("o_totalprice").cast("string").alias("o_totalprice"), "o_custkey",
+        "o_orderstatus", (F.col("o_orderkey") % 7).alias("o_channel"))
+    history.store_schema({"orders": orders, "nation": nation}, path, "first")
+    history.store_schema({"orders": later, "nation": nation}, path, "second")
+    return history.drift_over(t.spark.read.parquet(path), ["first", "second"])
+
+
 _COUNTED = {
     "bronze_customers": "b_customers", "bronze_transactions": "b_transactions",
     "dim_customer": "s_dim_customer", "fact_transaction": "s_fact_transaction",
