@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
-from terrace.operators.rows import dedup_latest, distinct_keys, drop_known, fresh_key
+from terrace.operators.rows import dedup_latest, distinct_keys, drop_known, fresh_key, row_digest
 from terrace.schemas import OPEN_END
 
 VERSION_COLUMNS = ["effective_date", "expiry_date", "is_current"]
@@ -120,11 +120,10 @@ def classify_changes(
     existing: DataFrame, incoming: DataFrame, key: str, compared: Sequence[str]
 ) -> DataFrame:
     """NEW, CHANGED, UNCHANGED or MISSING per key, and how many extra copies arrived."""
-    copies = incoming.groupBy(key).agg(F.count("*").alias("copies"))
-    newest = dedup_latest(incoming.select(key, *compared), [key]).join(copies, key)
-    before = dedup_latest(existing.select(key, *compared), [key]).select(
-        F.col(key), C.tracked_hash(compared).alias("old_hash"))
-    after = newest.select(F.col(key), "copies", C.tracked_hash(compared).alias("new_hash"))
+    # The copy of largest digest stands for a key: one grouping, combined in the map tasks.
+    state = F.max_by(C.tracked_hash(compared), row_digest(compared))
+    before = existing.groupBy(key).agg(state.alias("old_hash"))
+    after = incoming.groupBy(key).agg(state.alias("new_hash"), F.count("*").alias("copies"))
     return before.join(after, key, "full_outer").select(
         key,
         F.when(F.col("old_hash").isNull(), "NEW")

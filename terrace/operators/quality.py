@@ -340,12 +340,15 @@ def share_bounds(
     severity: str = "warn",
 ) -> DataFrame:
     """Share of each named category lies in its bounds."""
-    rules = [
+    return apply_rules(df, table, share_rules(column, bounds, severity))
+
+
+def share_rules(column: str, bounds: Mapping[str, tuple[float, float]], severity: str = "warn") -> list[Rule]:
+    return [
         metric_between(f"share_{value}", column,
                        C.share(F.count_if(F.col(column) == value), F.count("*")),
                        low, high, severity)
         for value, (low, high) in bounds.items()]
-    return apply_rules(df, table, rules)
 
 
 def min_distinct(

@@ -47,28 +47,23 @@ def parts_together() -> list[Column]:
             F.max("last_date").alias("last_date"), F.sum("unsuccessful").alias("unsuccessful")]
 
 
-def account_measures(accounts: DataFrame) -> DataFrame:
-    """Per customer, in one pass: accounts, active ones, and the active ones' balances."""
-    active = _is("status", "ACTIVE")
-    balance = F.when(active, F.col("balance"))
-    return accounts.groupBy("customer_id").agg(
-        F.count("account_id").alias("total_accounts"),
-        F.count_if(active).alias("active_accounts"),
-        F.sum(balance).alias("total_balance"),
-        F.try_divide(F.sum(balance), F.count(balance)).alias("avg_balance"),
-    )
-
-
-def transaction_measures(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Per customer; first per account, so the join sees one row per account.
+def account_measures(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Per customer, in one grouping of the accounts: accounts, balances, and what was done on them.
 
     Takes the stored fact, typed transactions that still carry the account's own id, or stored parts.
+    They are added up per account first, so the join sees one row per account.
     """
     key = "account_sk" if "account_sk" in transactions.columns else "account_id"
     per_account = transactions.groupBy(key).agg(
         *(parts_together() if "unsuccessful" in transactions.columns else transaction_parts()))
-    owner = accounts.select(key, "customer_id")
-    return per_account.join(owner, key).groupBy("customer_id").agg(
+    active = _is("status", "ACTIVE")
+    balance = F.when(active, F.col("balance"))
+    return accounts.select(*dict.fromkeys((key, "account_id", "customer_id", "status", "balance"))).join(
+        per_account, key, "left").groupBy("customer_id").agg(
+        F.count("account_id").alias("total_accounts"),
+        F.count_if(active).alias("active_accounts"),
+        F.sum(balance).alias("total_balance"),
+        F.try_divide(F.sum(balance), F.count(balance)).alias("avg_balance"),
         F.sum("n").alias("total_transactions"),
         F.sum("credit").alias("total_credit_amount"),
         F.sum("debit").alias("total_debit_amount"),
@@ -78,14 +73,21 @@ def transaction_measures(transactions: DataFrame, accounts: DataFrame) -> DataFr
 
 
 def loan_measures(loans: DataFrame, customer_versions: DataFrame) -> DataFrame:
-    """Per customer over all versions: loans granted to an expired version still count."""
-    per_version = loans.groupBy("customer_sk").agg(
+    """Per customer over all versions: loans granted to an expired version still count.
+
+    Takes the stored fact, or typed loans, which carry the customer's own id and need no join.
+    """
+    resolved = "customer_sk" in loans.columns
+    per_version = loans.groupBy("customer_sk" if resolved else "customer_id").agg(
         F.count("*").alias("n"),
         F.count_if(_is("status", "ACTIVE")).alias("active"),
         F.count_if(_is("status", "DEFAULT")).alias("defaulted"),
         F.sum("outstanding_amount").alias("outstanding"),
         F.sum("principal_amount").alias("principal"),
     )
+    if not resolved:
+        return per_version.toDF("customer_id", "loans", "active_loans", "default_loans", "total_loan_outstanding",
+                                "total_principal")
     owner = customer_versions.select("customer_sk", "customer_id")
     return per_version.join(owner, "customer_sk").groupBy("customer_id").agg(
         F.sum("n").alias("loans"),
@@ -118,8 +120,7 @@ def customer_360(
     base = customer_versions.filter("is_current = 'Y'").select(
         "customer_id", "full_name", "city", "state", "customer_since")
     assembled = (
-        base.join(account_measures(accounts), "customer_id", "left")
-        .join(transaction_measures(transactions, accounts), "customer_id", "left")
+        base.join(account_measures(accounts, transactions), "customer_id", "left")
         .join(loan_measures(loans, customer_versions), "customer_id", "left")
         .fillna(0)
     )

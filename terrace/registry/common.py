@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,7 @@ from pyspark.sql.types import DateType, DecimalType
 from terrace.functions import columns as C
 from terrace.plans import gold, silver
 from terrace.registry.layers_sql import AS_OF, FIRST_DAY, SECOND_DAY, with_layers
+from terrace.session import cut_lineage
 from terrace.sources import given
 
 
@@ -22,12 +23,17 @@ class Tables:
 
     spark: SparkSession
     sf_dir: str
+    stored: Mapping[str, DataFrame] = field(default_factory=dict)
+
+    def keeping(self, *views: str) -> Tables:
+        """The same layers over raw views that are stored first, for plans that use them more than once."""
+        return Tables(self.spark, self.sf_dir, {v: cut_lineage(self.raw(v)) for v in views})
 
     def given(self, name: str) -> DataFrame:
         return given.given_table(self.spark, self.sf_dir, name)
 
     def raw(self, view: str) -> DataFrame:
-        return given.raw(self.spark, view, self.given)
+        return self.stored[view] if view in self.stored else given.raw(self.spark, view, self.given)
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -88,7 +94,7 @@ class Tables:
     @cached_property
     def customer_360(self) -> DataFrame:
         return gold.customer_360(
-            self.customers, self.accounts, self.typed_transactions, self.loans)
+            self.customers, self.accounts, self.typed_transactions, self.typed_loans)
 
     @cached_property
     def branch_performance(self) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions import columns as C
 from terrace.operators import quality as Q
+from terrace.operators.check_plan import CheckPlan
 from terrace.operators.compare import compare_cells
 from terrace.operators.lineage import Hop, patterns, trace
 from terrace.registry.common import AS_OF, SECOND_DAY, Tables, query
@@ -95,14 +96,15 @@ _CURRENT = "(SELECT count(*) FROM v_merged WHERE is_current = 'Y')"
          f"abs({_RESENT} - {_CURRENT})", "<= 0.0",
          f"CASE WHEN {_RESENT} = {_CURRENT} THEN 0 ELSE 1 END", "m = 0", "(SELECT 1)")))
 def rowcount_match(t: Tables) -> DataFrame:
-    resent = t.raw("customers_day2")
-    current = t.versions.filter("is_current = 'Y'")
-    return Q.combine([
-        Q.row_count_match(t.raw("transactions"), t.transactions,
-                          ("bronze_transactions", "fact_transaction")),
-        Q.row_count_match(resent, current, ("bronze_customers", "dim_customer")),
-        Q.row_count_match(resent, current, ("bronze_customers", "dim_customer"),
-                          ["customer_id"])])
+    t = t.keeping("customers", "customers_day2")
+    plan = CheckPlan()
+    plan.input("bronze_transactions", t.raw("transactions").select("transaction_id"))
+    plan.input("fact_transaction", t.transactions.select("transaction_id"))  # its look-ups might repeat rows
+    plan.input("bronze_customers", t.raw("customers_day2").select("customer_id"))
+    plan.input("dim_customer", t.versions.filter("is_current = 'Y'").select("customer_id"))
+    plan.same_rows("bronze_transactions", "fact_transaction")
+    plan.same_rows("bronze_customers", "dim_customer")
+    return plan.same_rows("bronze_customers", "dim_customer", ["customer_id"]).run()
 
 
 _MIN_ROWS = {"dim_customer": ("s_dim_customer", 1), "dim_account": ("s_dim_account", 1),
@@ -134,13 +136,17 @@ def _unique_sql(table: str, keys: str, source: str) -> str:
     _unique_sql("dim_customer", "email", "s_dim_customer"),
     _unique_sql("bronze_customers", "customer_id", "b_customers_day2")))
 def unique(t: Tables) -> DataFrame:
-    return Q.combine([
-        Q.unique(t.typed_transactions, "fact_transaction", ["transaction_id"]),
-        Q.unique(t.versions, "dim_customer", ["customer_id", "effective_date"]),
-        Q.unique(t.accounts, "dim_account", ["account_id"]),
-        Q.unique(t.accounts, "dim_account", ["account_number"]),
-        Q.unique(t.customers, "dim_customer", ["email"]),
-        Q.unique(t.raw("customers_day2"), "bronze_customers", ["customer_id"])])
+    t = t.keeping("customers", "customers_day2")
+    plan = CheckPlan()
+    plan.input("fact_transaction", t.typed_transactions.select("transaction_id"))
+    plan.input("versions", t.versions.select("customer_id", "effective_date"))
+    plan.input("dim_account", t.accounts.select("account_id", "account_number"))
+    plan.input("dim_customer", t.customers.select("email"))
+    plan.input("bronze_customers", t.raw("customers_day2").select("customer_id"))
+    plan.unique("fact_transaction", ["transaction_id"])
+    plan.unique("versions", ["customer_id", "effective_date"], table="dim_customer")
+    plan.unique("dim_account", ["account_id"]).unique("dim_account", ["account_number"])
+    return plan.unique("dim_customer", ["email"]).unique("bronze_customers", ["customer_id"]).run()
 
 
 @query("dq_not_null", _all(
@@ -168,20 +174,28 @@ def not_null(t: Tables) -> DataFrame:
              "account_id")))
 def referential(t: Tables) -> DataFrame:
     # Keys of small amounts are damaged, and the calendar lacks the weekends: both must be noticed.
-    accounts = cut_lineage(t.accounts.select("account_sk", "account_id", "customer_id"))
-    keys = t.typed_transactions.select("account_id", "amount").join(accounts, "account_id", "left")
-    keys = keys.withColumn("account_sk", F.when(
-        F.col("amount") < 2000, -F.col("account_sk")).otherwise(F.col("account_sk")))
+    t = t.keeping("accounts")
+    accounts = t.accounts.select("account_sk", "account_id", "customer_id")
+    # The fact's own look-up of the account, and its date, from one reading of the transactions.
+    facts = t.typed_transactions.groupBy("account_id", "date_sk", (F.col("amount") < 2000).alias("small")).agg(
+        F.count("*").alias("n")).join(accounts.select("account_id", "account_sk"), "account_id", "left")
+    facts = facts.select("date_sk", "n", F.when(F.col("small"), -F.col("account_sk")).otherwise(
+        F.col("account_sk")).alias("account_sk"))
     products = cut_lineage(t.products.select("product_id", "product_sk"))
-    loans = t.typed_loans.select("product_id").join(products, "product_id", "left")
-    return Q.combine([
-        Q.referential(keys, accounts, "account_sk", "account_sk", "fact_transaction"),
-        Q.referential(t.typed_transactions, t.calendar.filter("is_weekend = 'N'"), "date_sk", "date_sk",
-                      "fact_transaction"),
-        Q.referential(loans, products, "product_sk", "product_sk", "fact_loan"),
-        Q.referential(accounts, t.raw("customers"), "customer_id", "customer_id", "dim_account"),
-        Q.referential(t.raw("transactions_dirty"), t.raw("accounts"), "account_id", "account_id",
-                      "bronze_transactions")])
+    loans = t.typed_loans.select("product_id").join(products, "product_id", "left").select("product_sk")
+    plan = CheckPlan()
+    plan.input("fact_transaction", facts, weight="n")
+    plan.input("dim_account", accounts)
+    plan.input("dim_date", t.calendar.filter("is_weekend = 'N'").select("date_sk"))
+    plan.input("fact_loan", loans).input("dim_product", products)
+    plan.input("bronze_customers", t.raw("customers").select("customer_id"))
+    plan.input("bronze_transactions", t.raw("transactions_dirty").select("account_id"))
+    plan.input("bronze_accounts", t.raw("accounts").select("account_id"))
+    plan.referential("fact_transaction", "account_sk", "dim_account", "account_sk")
+    plan.referential("fact_transaction", "date_sk", "dim_date", "date_sk")
+    plan.referential("fact_loan", "product_sk", "dim_product", "product_sk")
+    plan.referential("dim_account", "customer_id", "bronze_customers", "customer_id")
+    return plan.referential("bronze_transactions", "account_id", "bronze_accounts", "account_id").run()
 
 
 @query("dq_orphan_rate", _all(*(
@@ -354,10 +368,10 @@ def conditional(t: Tables) -> DataFrame:
                       F.col("close_date").isNotNull()),
             Q.implies("active_has_none", "close_date", F.col("status") == "ACTIVE",
                       F.col("close_date").isNull(), "warn")]),
-        Q.apply_rules(t.transactions, "fact_transaction", [
+        Q.apply_rules(t.typed_transactions, "fact_transaction", [
             Q.implies("success_has_reference", "reference_number", F.col("status") == "SUCCESS",
                       F.col("reference_number").isNotNull())]),
-        Q.apply_rules(t.loans, "fact_loan", [
+        Q.apply_rules(t.typed_loans, "fact_loan", [
             Q.implies("default_owes", "outstanding_amount", F.col("status") == "DEFAULT",
                       F.col("outstanding_amount") > 0)])])
 
@@ -384,15 +398,18 @@ def _gap(check: str, table: str, column: str, left: str, right: str, limit, rela
          "SELECT sum(cast(amount as decimal(15,2))) FROM b_transactions",
          "SELECT sum(try_cast(amount as decimal(15,2))) FROM b_transactions_dirty", 0.001, True)))
 def sum_reconcile(t: Tables) -> DataFrame:
-    clean, dirty = t.raw("transactions"), t.raw("transactions_dirty")
     parsed = F.sum(C.tolerant_cast("amount", "decimal(15,2)"))
-    return Q.combine([
-        Q.equal_measure(clean, t.typed_transactions, parsed, F.sum("amount"), "sum_match",
-                        "bronze/fact_transaction", "amount", 0.01),
-        Q.equal_measure(t.typed_transactions, t.daily_summary, F.sum("amount"), F.sum("total_amount"),
-                        "sum_match", "fact_transaction/gold_daily", "amount", 0.01),
-        Q.equal_measure(clean, dirty, parsed, parsed, "sum_match", "clean/dirty", "amount",
-                        0.001, relative=True)])
+    total = F.sum("amount")
+    plan = CheckPlan().input("bronze_transactions", t.raw("transactions").select("amount"))
+    plan.input("fact_transaction", t.typed_transactions.select("amount"))
+    plan.input("gold_daily_txn_summary", t.daily_summary.select("total_amount"))
+    plan.input("dirty", t.raw("transactions_dirty").select("amount"))
+    plan.equal(("bronze_transactions", parsed), ("fact_transaction", total), "sum_match", "bronze/fact_transaction",
+               "amount", 0.01)
+    plan.equal(("fact_transaction", total), ("gold_daily_txn_summary", F.sum("total_amount")), "sum_match",
+               "fact_transaction/gold_daily", "amount", 0.01)
+    return plan.equal(("bronze_transactions", parsed), ("dirty", parsed), "sum_match", "clean/dirty", "amount",
+                      0.001, relative=True).run()
 
 
 @query("dq_agg_reconcile", _all(
@@ -407,17 +424,19 @@ def sum_reconcile(t: Tables) -> DataFrame:
     _none("npa_shown", "gold_loan_portfolio", "npa_ratio",
           "defaulted_loans > 0 AND NOT coalesce(npa_ratio > 0, false)", "g_loan_portfolio")))
 def agg_reconcile(t: Tables) -> DataFrame:
-    defaults = F.count_if(F.col("status") == "DEFAULT")
-    return Q.combine([
-        Q.equal_measure(t.daily_summary, t.typed_transactions, F.sum("total_count"), F.count("*"),
-                        "detail_match", "gold_daily/fact_transaction", "total_count"),
-        Q.equal_measure(t.loan_portfolio, t.typed_loans, F.sum("total_loans"), F.count("*"),
-                        "detail_match", "gold_portfolio/fact_loan", "total_loans"),
-        Q.equal_measure(t.loan_portfolio, t.typed_loans, F.sum("defaulted_loans"), defaults,
-                        "npa_match", "gold_portfolio/fact_loan", "defaulted_loans"),
-        Q.apply_rules(t.loan_portfolio, "gold_loan_portfolio", [
-            Q.implies("npa_shown", "npa_ratio", F.col("defaulted_loans") > 0,
-                      F.col("npa_ratio") > 0)])])
+    t = t.keeping("loans")
+    plan = CheckPlan().input("gold_daily", t.daily_summary.select("total_count"))
+    plan.input("fact_transaction", t.typed_transactions.select("transaction_id"))
+    plan.input("gold_loan_portfolio", t.loan_portfolio.select("total_loans", "defaulted_loans", "npa_ratio"))
+    plan.input("fact_loan", t.typed_loans.select("status"))
+    plan.equal(("gold_daily", F.sum("total_count")), ("fact_transaction", F.count("*")), "detail_match",
+               "gold_daily/fact_transaction", "total_count")
+    plan.equal(("gold_loan_portfolio", F.sum("total_loans")), ("fact_loan", F.count("*")), "detail_match",
+               "gold_portfolio/fact_loan", "total_loans")
+    plan.equal(("gold_loan_portfolio", F.sum("defaulted_loans")), ("fact_loan", F.count_if(F.col("status") == "DEFAULT")),
+               "npa_match", "gold_portfolio/fact_loan", "defaulted_loans")
+    return plan.rules("gold_loan_portfolio", [
+        Q.implies("npa_shown", "npa_ratio", F.col("defaulted_loans") > 0, F.col("npa_ratio") > 0)]).run()
 
 
 @query("dq_key_coverage", _all(
@@ -452,10 +471,14 @@ def key_coverage(t: Tables) -> DataFrame:
              "(SELECT transaction_date FROM s_fact_transaction WHERE transaction_date IS NOT NULL "
              f"EXCEPT SELECT full_date FROM {source})")))))
 def date_gaps(t: Tables) -> DataFrame:
-    workdays = t.calendar.filter("is_weekend = 'N'")
-    return Q.combine([
-        Q.calendar_complete(df, "full_date", t.typed_transactions, "transaction_date", table)
-        for table, df in (("dim_date", t.calendar), ("workdays", workdays))])
+    plan = CheckPlan().input("dim_date", t.calendar.select("full_date"))
+    plan.input("workdays", t.calendar.filter("is_weekend = 'N'").select("full_date"))
+    # A few thousand days are all that the checks need of the transactions.
+    plan.input("fact_transaction", t.typed_transactions.select("transaction_date").distinct())
+    for calendar in ("dim_date", "workdays"):
+        plan.no_gaps(calendar, "full_date")
+        plan.covered("fact_transaction", "transaction_date", calendar, "full_date", "date_coverage", calendar)
+    return plan.run()
 
 
 @query("dq_freshness", _all(
@@ -469,7 +492,7 @@ def freshness(t: Tables) -> DataFrame:
     return Q.combine([
         Q.apply_rules(t.readings, "sensor_readings", [
             Q.fresh_within_hours("reading_ts", datetime(2024, 1, 31), 24)]),
-        Q.apply_rules(t.transactions, "fact_transaction", [
+        Q.apply_rules(t.typed_transactions, "fact_transaction", [
             Q.newest_within_days("transaction_date", AS_OF, 30)])])
 
 
@@ -481,7 +504,7 @@ def freshness(t: Tables) -> DataFrame:
     _rate("null_rate", "fact_transaction", "transaction_date", "transaction_date IS NULL", 0.05,
           "s_fact_dirty")))
 def date_validity(t: Tables) -> DataFrame:
-    return Q.apply_rules(t.transactions_from("transactions_dirty"), "fact_transaction", [
+    return Q.apply_rules(t.typed_from("transactions_dirty"), "fact_transaction", [
         Q.not_after("transaction_date", AS_OF),
         Q.not_before("transaction_date", "1995-06-01", "warn"),
         Q.null_rate("transaction_date", 0.05)])
@@ -525,9 +548,9 @@ def volume_ratio(t: Tables) -> DataFrame:
     _none("empty_group", "gold_daily_txn_summary", "success_count", "success_count = 0",
           "g_daily_txn_summary", "warn")))
 def empty_groups(t: Tables) -> DataFrame:
-    return Q.combine([
-        Q.empty_groups(t.daily_summary, "gold_daily_txn_summary", "total_count"),
-        Q.empty_groups(t.daily_summary, "gold_daily_txn_summary", "success_count", "warn")])
+    return Q.apply_rules(t.daily_summary, "gold_daily_txn_summary", [
+        Q.none_broken("empty_group", c, F.col(c) == 0, severity)
+        for c, severity in (("total_count", "error"), ("success_count", "warn"))])
 
 
 _PROFILE = {"min": (0.01, 5000), "max": (1000, 100_000), "avg": (1000, 100_000),
@@ -559,11 +582,10 @@ _SHARES = {"transaction_type": {"CREDIT": (0.3, 0.7), "DEBIT": (0.3, 0.7)},
     _row("min_distinct", "fact_loan", "loan_type", "count(DISTINCT loan_type)", ">= 7",
          "CASE WHEN count(DISTINCT loan_type) >= 7 THEN 0 ELSE 1 END", "m >= 7", "s_fact_loan")))
 def distribution(t: Tables) -> DataFrame:
-    return Q.combine([
-        *(Q.share_bounds(t.typed_transactions, "fact_transaction", c, bounds)
-          for c, bounds in _SHARES.items()),
-        Q.min_distinct(t.customers, "dim_customer", "city", 10),
-        Q.min_distinct(t.typed_loans, "fact_loan", "loan_type", 7)])
+    plan = CheckPlan().input("fact_transaction", t.typed_transactions.select(*_SHARES))
+    plan.input("dim_customer", t.customers.select("city")).input("fact_loan", t.typed_loans.select("loan_type"))
+    plan.rules("fact_transaction", [rule for c, bounds in _SHARES.items() for rule in Q.share_rules(c, bounds)])
+    return plan.min_distinct("dim_customer", "city", 10).min_distinct("fact_loan", "loan_type", 7).run()
 
 
 def _iqr_sql(column: str, source: str, table: str, limit: float) -> str:

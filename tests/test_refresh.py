@@ -144,5 +144,5 @@ def test_parts_add_up_to_the_marts(spark):
     months = t.transactions.withColumn(MONTH, F.date_format("transaction_date", "yyyy-MM"))
     parts = refresh.activity(months)
     assert parts.count() < months.count()
-    whole, added = (rows_of(gold.transaction_measures(df, t.accounts).fillna(0)) for df in (t.transactions, parts))
+    whole, added = (rows_of(gold.account_measures(t.accounts, df).fillna(0)) for df in (t.transactions, parts))
     assert whole == added
