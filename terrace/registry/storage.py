@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from terrace.plans import mart_mapping
 from terrace.plans.facts import FactStore
 from terrace.plans.jobs import Landing, bronze_to_silver, fact_store, source_to_bronze, update_silver
 from terrace.plans.refresh import mart, refresh_gold
@@ -353,6 +354,22 @@ def job_incremental_gold(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, marts)
 
 
+@query("mapping_marts", " UNION ALL ".join(
+    _tall_sql(name, name.replace("gold_", "g_")) for name in _MARTS))
+def mapping_marts(t: Tables) -> DataFrame:
+    """All marts, built from their mappings over the conformed tables."""
+    built = {"dim_customer": t.customers, "dim_account": t.accounts, "dim_branch": t.branches,
+             "fact_transaction": t.transactions, "fact_loan": t.loans}
+    return reduce(DataFrame.unionByName, (
+        _tall(mart_mapping.build(m, built.__getitem__), name) for name, m in mart_mapping.MARTS.items()))
+
+
+@query("mapping_raw", f"""
+  SELECT {', '.join(BRONZE_COLUMNS['loans'])}, 'loans.csv' AS _source_file, 'b7' AS _batch_id FROM b_loans""")
+def mapping_raw(t: Tables) -> DataFrame:
+    return mart_mapping.apply_raw(t.raw("loans"), "loans", "b7", "loans.csv").drop("_ingestion_ts")
+
+
 @query("ingest_incremental_stream", f"""
   SELECT {_text_columns('transactions')},
     CASE WHEN transaction_date >= '{TRANSACTION_CUTOFF}' THEN 'second' ELSE 'first' END AS _batch_id
