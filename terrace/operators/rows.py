@@ -21,10 +21,11 @@ def row_digest(columns: Sequence[str]) -> Column:
 def dedup_latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column] = ()) -> DataFrame:
     """One row per key: the newest, and among equally new ones the one of largest digest.
 
-    The digest makes reruns agree without carrying every column through the sort and the
-    shuffle, so columns nobody asks for are still pruned. The `= 1` filter on row_number lets
-    Spark keep a single row per key in every map task (WindowGroupLimit), so a key that holds
-    a third of all rows reaches the shuffle as one row per task.
+    The digest makes reruns agree. It reads all columns of `df`, so give it only those that are
+    needed; what goes through the sort and the shuffle is its one number beside the columns
+    asked for later. The `= 1` filter on row_number lets Spark keep a single row per key in every
+    map task (WindowGroupLimit), so a key that holds a third of all rows reaches the shuffle as one
+    row per task.
     """
     rest = [c for c in df.columns if c not in set(keys)]
     order = [*newest_first, *([row_digest(rest).desc()] if rest else [])] or list(keys)

@@ -17,6 +17,11 @@ from terrace.session import cut_lineage
 from terrace.sources import given
 
 
+#: Conformed tables and the attributes that build them.
+CONFORMED = {"dim_customer": "customers", "dim_account": "accounts", "dim_branch": "branches", "dim_product": "products",
+             "fact_transaction": "transactions", "fact_loan": "loans"}
+
+
 @dataclass(frozen=True)
 class Tables:
     """Lazy plans of every layer over one folder of test tables."""
@@ -26,8 +31,15 @@ class Tables:
     stored: Mapping[str, DataFrame] = field(default_factory=dict)
 
     def keeping(self, *views: str) -> Tables:
-        """The same layers over raw views that are stored first, for plans that use them more than once."""
-        return Tables(self.spark, self.sf_dir, {v: cut_lineage(self.raw(v)) for v in views})
+        """The same layers over tables that are stored first, for plans that use them more than once.
+
+        Names are those of raw views, or of conformed tables, which are built from what is stored before.
+        """
+        tables = self
+        for name in views:
+            df = getattr(tables, CONFORMED[name]) if name in CONFORMED else tables.raw(name)
+            tables = Tables(self.spark, self.sf_dir, {**tables.stored, name: cut_lineage(df)})
+        return tables
 
     def given(self, name: str) -> DataFrame:
         return given.given_table(self.spark, self.sf_dir, name)
@@ -37,7 +49,7 @@ class Tables:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return silver.dim_customer(self.raw("customers"), AS_OF, FIRST_DAY)
+        return self.stored["dim_customer"] if "dim_customer" in self.stored else silver.dim_customer(self.raw("customers"), AS_OF, FIRST_DAY)
 
     @cached_property
     def first_load(self) -> DataFrame:
@@ -51,19 +63,19 @@ class Tables:
 
     @cached_property
     def accounts(self) -> DataFrame:
-        return silver.dim_account(self.raw("accounts"))
+        return self.stored["dim_account"] if "dim_account" in self.stored else silver.dim_account(self.raw("accounts"))
 
     @cached_property
     def branches(self) -> DataFrame:
-        return silver.dim_branch(self.raw("branches"))
+        return self.stored["dim_branch"] if "dim_branch" in self.stored else silver.dim_branch(self.raw("branches"))
 
     @cached_property
     def products(self) -> DataFrame:
-        return silver.dim_product(self.raw("product_types"))
+        return self.stored["dim_product"] if "dim_product" in self.stored else silver.dim_product(self.raw("product_types"))
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self.transactions_from("transactions")
+        return self.stored["fact_transaction"] if "fact_transaction" in self.stored else self.transactions_from("transactions")
 
     @cached_property
     def typed_transactions(self) -> DataFrame:
@@ -84,7 +96,7 @@ class Tables:
 
     @cached_property
     def loans(self) -> DataFrame:
-        return silver.fact_loan(self.raw("loans"), self.customers, self.branches, self.products)
+        return self.stored["fact_loan"] if "fact_loan" in self.stored else silver.fact_loan(self.raw("loans"), self.customers, self.branches, self.products)
 
     @cached_property
     def calendar(self) -> DataFrame:

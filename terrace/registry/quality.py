@@ -15,15 +15,16 @@ from pyspark.sql import functions as F
 from terrace.functions import columns as C
 from terrace.operators import quality as Q
 from terrace.operators.check_plan import CheckPlan
-from terrace.operators.compare import compare_cells
+from terrace.operators.compare import compare_cells, file_pair
 from terrace.operators.lineage import Hop, patterns, trace
 from terrace.registry.common import AS_OF, SECOND_DAY, Tables, query
 from terrace.registry.layers_sql import day, dec, share, title
 from terrace.schemas import (ACCOUNT_TYPES, BRONZE_COLUMNS, CHANNELS, EMAIL_PATTERN, GENDERS,
                              LOAN_STATUSES, LOAN_TYPES, PAN_PATTERN, PHONE_PATTERN, SEGMENTS,
                              TRANSACTION_STATUSES, TRANSACTION_TYPES, TWELVE_DIGITS, table_schema)
-from terrace.session import cut_lineage
+from terrace.session import cut_lineage, new_folder
 from terrace.sources import given
+from terrace.sources.files import scan_csv_header, with_row_position
 
 
 def _row(check: str, table: str, column: str, metric: str, threshold: str, failed: str,
@@ -796,6 +797,43 @@ def lineage_bits(t: Tables) -> DataFrame:
         patterns(trace(hops), [h.name for h in hops], entity) for entity, hops in traced.items()))
 
 
+# The JSON file lacks a column and the last ten rows, has another one, and moves some customers.
+_PAIR = "customer_id first_name city state phone is_active".split()
+
+
+@query("dq_file_pair", f"""
+  WITH csv AS (SELECT row_number() OVER (ORDER BY customer_id) - 1 AS row_position,
+      {', '.join(f"nullif({c}, '') AS {c}" for c in _PAIR)} FROM b_customers),
+  json AS (SELECT * REPLACE (CASE WHEN row_position % 7 = 3 THEN city || ' II' ELSE city END AS city)
+    FROM csv WHERE row_position < (SELECT count(*) FROM csv) - 10),
+  cells AS ({" UNION ALL ".join(
+      f"SELECT c.row_position, '{c}' AS column_name, c.{c} AS l, j.{c} AS r FROM csv c JOIN json j USING (row_position)"
+      for c in _PAIR if c != 'phone')})
+  SELECT 'extension' AS check_name, cast(NULL as bigint) AS row_position, '*' AS column_name, NULL AS left_value,
+    'json' AS right_value, 'different' AS finding
+  UNION ALL SELECT 'header', NULL, 'phone', NULL, NULL, 'missing on right'
+  UNION ALL SELECT 'header', NULL, 'region', NULL, NULL, 'missing on left'
+  UNION ALL SELECT 'row_count', NULL, '*', cast((SELECT count(*) FROM csv) as varchar),
+    cast((SELECT count(*) FROM json) as varchar), 'different'
+  UNION ALL SELECT 'cell', row_position, column_name, l, r, 'different' FROM cells WHERE l IS DISTINCT FROM r
+  UNION ALL SELECT 'cell', row_position, '*', NULL, NULL, 'missing on right' FROM csv
+    WHERE row_position NOT IN (SELECT row_position FROM json)""")
+def file_pair_findings(t: Tables) -> DataFrame:
+    """Two written files, row by row in their order."""
+    root = new_folder(t.spark, "pair")
+    rows = cut_lineage(t.raw("customers").select(*_PAIR))
+    (rows.orderBy("customer_id").write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(f"{root}/left.csv"))
+    placed = with_row_position(scan_csv_header(t.spark, f"{root}/left.csv"))
+    n = rows.count()
+    changed = placed.filter(F.col("row_position") < n - 10).withColumns({
+        "city": F.when(F.col("row_position") % 7 == 3, F.concat("city", F.lit(" II"))).otherwise(F.col("city")),
+        "region": F.lit("x")}).drop("phone")
+    changed.orderBy("row_position").drop("row_position").write.json(f"{root}/right.txt")
+    found = file_pair(t.spark, f"{root}/left.csv", f"{root}/right.txt")
+    return found.withColumn("left_value", F.when(F.col("check_name") != "extension", F.col("left_value")))
+
+
 @query("dq_file_compare", "WITH n AS (SELECT DISTINCT * FROM b_customers_day2) " + _all(
     *(f"SELECT customer_id, '{c}' AS column_name, o.{c} AS left_value, n.{c} AS right_value, "
       "'different' AS finding FROM b_first_load o JOIN n USING (customer_id) "

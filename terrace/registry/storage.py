@@ -15,7 +15,7 @@ from terrace.plans import mart_mapping
 from terrace.plans.facts import FactStore
 from terrace.plans.jobs import Landing, bronze_to_silver, fact_store, source_to_bronze, update_silver
 from terrace.plans.refresh import mart, refresh_gold
-from terrace.registry.common import Tables, query
+from terrace.registry.common import CONFORMED, Tables, query
 from terrace.registry.layers_sql import AS_OF, FIRST_DAY, LAYERS, SECOND_DAY, columns_of
 from terrace.schemas import BRONZE_COLUMNS, GOLD_DDL, SILVER_DDL
 from terrace.session import new_folder
@@ -219,6 +219,8 @@ _ALL_COUNTED = {
     f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source}"
     for name, source in _ALL_COUNTED.items()))
 def layer_row_counts_all(t: Tables) -> DataFrame:
+    """Layers are stored one after the other, as a warehouse has them, and counted from there."""
+    t = t.keeping(*BRONZE_COLUMNS, *CONFORMED)
     return tables.row_counts({
         **{f"bronze_{e}": t.raw(e) for e in BRONZE_COLUMNS},
         "dim_customer": t.customers, "dim_account": t.accounts, "dim_branch": t.branches,

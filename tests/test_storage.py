@@ -4,7 +4,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from terrace import session
-from terrace.operators.compare import (compare_files, header_findings, wrong_extension)
+from terrace.operators.compare import (compare_files, file_pair, header_findings, wrong_extension)
 from terrace.plans import jobs
 from terrace.plans.mapping import mapping_conformance
 from terrace.schemas import ALL_TABLES, BRONZE_COLUMNS, table_schema
@@ -65,6 +65,19 @@ def test_file_pair_compares_by_position(spark, tmp_path):
         ("a", "missing on right"), ("c", "missing on left")]
 
 
+def test_all_findings_on_a_file_pair(spark, tmp_path):
+    csv = text_file(tmp_path / "a.txt", "c1,c2\n1,x\n2,y\n3,z\n")
+    lines = text_file(tmp_path / "b.json", "\n".join(map(json.dumps, [
+        {"c1": "1", "c3": 5}, {"c1": "2"}, {"c1": "9"}, {"c1": "4"}])))
+    assert {tuple(r) for r in file_pair(spark, csv, lines).collect()} == {
+        ("extension", None, "*", csv, "csv", "different"), ("header", None, "c2", None, None, "missing on right"),
+        ("header", None, "c3", None, None, "missing on left"), ("row_count", None, "*", "3", "4", "different"),
+        ("cell", 2, "c1", "3", "9", "different"), ("cell", 3, "*", None, None, "missing on left")}
+    same = text_file(tmp_path / "c.json", "\n".join(map(json.dumps, [{"c1": "1", "c2": "x"}, {"c1": "2", "c2": "y"}, {"c1": "3", "c2": "z"}])))
+    right = text_file(tmp_path / "c.csv", "c1,c2\n1,x\n2,y\n3,z\n")
+    assert [tuple(r) for r in file_pair(spark, right, same).collect()] == [("row_count", None, "*", "3", "3", "equal")]
+
+
 def test_positions_run_on_over_many_blocks(spark, tmp_path):
     path = str(tmp_path / "many")
     spark.range(0, 5000, numPartitions=3).write.option("header", True).csv(path)
