@@ -1,12 +1,12 @@
-"""Checks planned together: one pass over each input, one grouping for each set of related keys.
+"""Checks planned together: one pass over each input for its numbers, and one grouping for all keys.
 
 Checks are asked for first and run at the end. Everything that aggregates an input - row rules,
 counts, sums - goes into one aggregation of it. Keys that are compared with each other form a
-domain: the inputs' keys are counted per input in one grouping, which then tells repeated keys,
-orphans, missing keys and distinct counts at once. Keys are combined in the map tasks, so a key with a
-third of all rows crosses the shuffle as one row per task.
+domain. One grouping by domain and key, over one reading of each input, counts the rows of every
+input, which then tells repeated keys, orphans, missing keys and distinct counts at once. Keys are
+combined in the map tasks, so a key with a third of all rows crosses the shuffle as one row per task.
 
-An input that more than one pass reads is stored once, as it was given: give inputs with the columns
+An input that both passes read is stored once, as it was given: give inputs with the columns
 that their checks need. All measures, a few numbers each, meet in one row, from which the verdicts are
 taken.
 """
@@ -170,7 +170,7 @@ class CheckPlan:
     def passes(self) -> dict[str, int]:
         """How many passes read each input."""
         read = {name: int(name in self._scalars) for name in self.inputs}
-        for source, _ in {(self._keys[i].source, d) for i, d in enumerate(self._domain)}:
+        for source in {key.source for key in self._keys}:
             read[source] += 1
         return read
 
@@ -185,22 +185,8 @@ class CheckPlan:
         parts = []
         for source, scalars in self._scalars.items():
             parts.append(self._numbers(stored[source].agg(*(v.alias(n) for n, v in scalars.items())), list(scalars)))
-        for domain in sorted(set(self._domain)):
-            members = [i for i, d in enumerate(self._domain) if d == domain]
-            # An input takes part once for each of its keys: its rows are read once for all of them.
-            by_source: dict[str, list[int]] = {}
-            for i in members:
-                by_source.setdefault(self._keys[i].source, []).append(i)
-            sides = []
-            for source, keys in by_source.items():
-                tagged = [F.struct(F.lit(i).alias("side"), self._value(self._keys[i].columns).alias("k")) for i in keys]
-                weight = F.col(self.weights[source]) if source in self.weights else F.lit(1)
-                sides.append(stored[source].select(weight.cast("long").alias("w"), F.inline(F.array(*tagged))))
-            per_key = reduce(DataFrame.unionByName, sides).groupBy("k").agg(
-                *(F.sum(F.when(F.col("side") == i, F.col("w")).otherwise(0)).alias(f"n{i}") for i in members))
-            asked = [(name, build) for key, name, build in self._measures if self._domain[key] == domain]
-            counted = per_key.agg(*(build(lambda i: F.col(f"n{i}")).alias(name) for name, build in asked))
-            parts.append(self._numbers(counted, [name for name, _ in asked]))
+        if self._keys:
+            parts.append(self._numbers(self._counted(stored), [name for _, name, _ in self._measures]))
         numbers = reduce(DataFrame.unionByName, parts)
         names = [n for scalars in self._scalars.values() for n in scalars] + [n for _, n, _ in self._measures]
         pick = lambda n, c: F.max(F.when(F.col("name") == n, F.col(c)))
@@ -210,6 +196,19 @@ class CheckPlan:
             return F.col(f"{name}e" if exact else name)
         return row.select(F.inline(F.array(*(verdict(of) for verdict in self._verdicts))))
 
-    @staticmethod
-    def _value(columns: Sequence[str]) -> Column:
-        return F.col(columns[0]) if len(columns) == 1 else F.struct(*(F.col(c).alias(f"k{i}") for i, c in enumerate(columns)))
+    def _counted(self, stored: dict[str, DataFrame]) -> DataFrame:
+        """All measures over keys, as one row. Keys are compared as text."""
+        sides = []
+        for source in dict.fromkeys(key.source for key in self._keys):
+            tagged = [F.struct(F.lit(self._domain[i]).alias("domain"), F.lit(i).alias("side"), _text(key.columns).alias("k"))
+                      for i, key in enumerate(self._keys) if key.source == source]
+            weight = F.col(self.weights[source]) if source in self.weights else F.lit(1)
+            sides.append(stored[source].select(weight.cast("long").alias("w"), F.inline(F.array(*tagged))))
+        per_key = reduce(DataFrame.unionByName, sides).groupBy("domain", "k").agg(
+            *(F.sum(F.when(F.col("side") == i, F.col("w")).otherwise(0)).alias(f"n{i}") for i in range(len(self._keys))))
+        # An input's count is 0 in the groups of other domains, so no measure needs to ask for its domain.
+        return per_key.agg(*(build(lambda i: F.col(f"n{i}")).alias(name) for _, name, build in self._measures))
+
+
+def _text(columns: Sequence[str]) -> Column:
+    return F.col(columns[0]).cast("string") if len(columns) == 1 else F.to_json(F.struct(*columns))

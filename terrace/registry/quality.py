@@ -17,6 +17,7 @@ from terrace.operators import quality as Q
 from terrace.operators.check_plan import CheckPlan
 from terrace.operators.compare import compare_cells, file_pair
 from terrace.operators.lineage import Hop, patterns, trace
+from terrace.operators.rows import lookup
 from terrace.registry.common import AS_OF, SECOND_DAY, Tables, query
 from terrace.registry.layers_sql import day, dec, share, title
 from terrace.schemas import (ACCOUNT_TYPES, BRONZE_COLUMNS, CHANNELS, EMAIL_PATTERN, GENDERS,
@@ -177,15 +178,14 @@ def referential(t: Tables) -> DataFrame:
     # Keys of small amounts are damaged, and the calendar lacks the weekends: both must be noticed.
     t = t.keeping("accounts")
     accounts = t.accounts.select("account_sk", "account_id", "customer_id")
-    # The fact's own look-up of the account, and its date, from one reading of the transactions.
-    facts = t.typed_transactions.groupBy("account_id", "date_sk", (F.col("amount") < 2000).alias("small")).agg(
-        F.count("*").alias("n")).join(accounts.select("account_id", "account_sk"), "account_id", "left")
-    facts = facts.select("date_sk", "n", F.when(F.col("small"), -F.col("account_sk")).otherwise(
+    facts = lookup(t.typed_transactions.select("account_id", "date_sk", "amount"),
+                   accounts.select("account_id", "account_sk"), "account_id")
+    facts = facts.select("date_sk", F.when(F.col("amount") < 2000, -F.col("account_sk")).otherwise(
         F.col("account_sk")).alias("account_sk"))
     products = cut_lineage(t.products.select("product_id", "product_sk"))
     loans = t.typed_loans.select("product_id").join(products, "product_id", "left").select("product_sk")
     plan = CheckPlan()
-    plan.input("fact_transaction", facts, weight="n")
+    plan.input("fact_transaction", facts)
     plan.input("dim_account", accounts)
     plan.input("dim_date", t.calendar.filter("is_weekend = 'N'").select("date_sk"))
     plan.input("fact_loan", loans).input("dim_product", products)
