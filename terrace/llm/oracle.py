@@ -38,6 +38,23 @@ judged AS (
 SELECT *, failed_rules & 3 <> 0 AS base_failed, failed_rules = 0 AS kept FROM judged
 """
 
+#: Policies and the places of their rules' bits.
+_PLACES = {"base": (0, 1), "2024-1": (0, 1, 4), "2024-2": (0, 1, 2, 3, 4, 5)}
+_RULES = ("few_words", "repeated_windows", "short_words", "long_words", "many_symbols", "repeated_lines")
+
+
+def _ablation() -> str:
+    parts = []
+    for policy, places in _PLACES.items():
+        whole = sum(1 << p for p in places)
+        for p in places:
+            parts.append(f"""
+SELECT '{policy}' AS policy, '{_RULES[p]}' AS rule, count(*) FILTER (WHERE failed_rules & {1 << p} <> 0) AS n_failed,
+       count(*) FILTER (WHERE failed_rules & {whole} = {1 << p}) AS n_failed_alone,
+       count(*) FILTER (WHERE failed_rules & {whole - (1 << p)} <> 0) AS n_rejected_without FROM rated""")
+    return "WITH rated AS MATERIALIZED (" + OP5 + ")" + " UNION ALL ".join(parts)
+
+
 def _digits(column: str, first: int) -> str:
     digit = lambda k: f"(instr('0123456789abcdef', substr(md5({column}), {k}, 1)) - 1)"
     return f"({digit(first)} * 16 + {digit(first + 1)})"
@@ -204,6 +221,7 @@ ORACLE = {
     "op1_chat_formatting": OP1,
     "op2_suffix_array_dedup": OP2,
     "op5_quality_rules": OP5,
+    "quality_rules_ablation": _ablation(),
     "op8_url_filters": OP8,
     "op9_benchmark_decontamination": OP9,
     "op11_html_extraction": OP11,

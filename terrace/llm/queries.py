@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from terrace.llm import (
     bpe, chat_format, decontaminate, hard_negatives, html_extract, lm_scoring, quality_classifier, quality_rules, repair,
     sharding, simhash, suffix_dedup, url_filters)
 from terrace.llm.oracle import ORACLE  # noqa: F401
+from terrace.session import cut_lineage
 
 SHARDS = 16
 FIRST_DAY = "2024-01-01"
@@ -75,6 +77,15 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality_rules.passes(failed).alias("kept"), failed.alias("failed_rules"))
 
 
+def quality_rules_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy does, over the ledger of all documents."""
+    judged, name = quality_rules.ledger(table(spark, sf_dir, "documents").select("text"))
+    failed = cut_lineage(judged.select(f"{name}.failed"))
+    return reduce(DataFrame.unionByName, (
+        quality_rules.ablation(failed, policy).select(F.lit(policy).alias("policy"), "*")
+        for policy in quality_rules.POLICIES))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
@@ -188,6 +199,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_chat_formatting, op2_suffix_array_dedup, op3_lm_scoring, op4_quality_classifier,
-        op5_quality_rules, op6_simhash_near_dedup, op7_sharding, op8_url_filters,
+        op5_quality_rules, quality_rules_ablation, op6_simhash_near_dedup, op7_sharding, op8_url_filters,
         op9_benchmark_decontamination, op10_bpe, op11_html_extraction, op12_hard_negatives,
         op13_conversation_repair, pipeline)}

@@ -70,7 +70,7 @@ def components(prints, ids, radius=4):
     return [least[find(i)] for i in range(len(ids))]
 
 
-def lm(rows, rounds=15, buckets=24):
+def lm(rows, rounds=500, buckets=24):
     """Scores of (id, text) rows: [(held_out, n_tokens, n_known, train_tokens, base, score)]."""
     token = [(text or "").encode().lower().split() + [None] for _, text in rows]
     fold = [zlib.crc32(("" if doc is None else str(doc)).encode()) % 10 for doc, _ in rows]
@@ -107,6 +107,7 @@ def lm(rows, rounds=15, buckets=24):
         weights = new
         if moved < 1e-3:
             break
+    weights[0] = (0.0, *(x / sum(weights[0][1:]) for x in weights[0][1:]))
     out = []
     for ws, f in zip(token, fold):
         base = sum(math.log10((word[w] + 0.1) / (n + 0.1 * (types + 1))) for w in ws)

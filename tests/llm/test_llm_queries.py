@@ -55,6 +55,11 @@ def kinds(text):
     return [int(g) & 63 for g in qc.grams([text])[0]]
 
 
+def test_letters_beyond_latin_are_told_apart():
+    for text in ("приветмир", "αβγδεζηθ", "ابتثجحخد", "日本語中文字"):
+        assert len(set(kinds(text))) >= len(set(text)) - 1
+
+
 def test_quality_classifier(spark, docs):
     got = run(spark, "op4_quality_classifier")
     trusted = {r.doc_id for r in spark.read.parquet(f"{SMALL}/labels.parquet").filter("quality = 1").collect()}
