@@ -72,7 +72,7 @@ class Series:
     def fill(self, columns: Sequence[str], forward_only: bool = False) -> Series:
         """Next known value, else last known value, else 0 (or last known, else 0)."""
         ahead, behind = self._window(descending=True), self._window()
-        rows = self.df.join(self._known_around(columns), [*self.series, CHUNK], "left")
+        rows = self.df.join(self._known_around(columns, forward_only), [*self.series, CHUNK], "left")
         filled = {}
         for c in columns:
             sources = [F.col(c)]
@@ -86,22 +86,19 @@ class Series:
         return replace(self, df=rows.select(
             *(filled[c].alias(c) if c in filled else F.col(c) for c in self.df.columns)))
 
-    def _known_around(self, columns: Sequence[str]) -> DataFrame:
-        """Per series and chunk: first known value in later chunks, last in earlier ones."""
-        position = F.struct(*self.order)
-        known = self.df.groupBy(*self.series, CHUNK).agg(*(
-            e for c in columns for e in (
-                F.min_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_first_{c}"),
-                F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(f"_last_{c}"))))
+    def _known_around(self, columns: Sequence[str], forward_only: bool) -> DataFrame:
+        """Per series and chunk: last known value in earlier chunks, and first in later ones if asked for."""
+        known_at = lambda c: F.when(F.col(c).isNotNull(), F.struct(*self.order))
+        last = [F.max_by(c, known_at(c)).alias(f"_last_{c}") for c in columns]
+        first = [] if forward_only else [F.min_by(c, known_at(c)).alias(f"_first_{c}") for c in columns]
+        known = self.df.groupBy(*self.series, CHUNK).agg(*last, *first)
         # One row per chunk: the windows below are bounded by the number of chunks.
-        up = Window.partitionBy(*self.series).orderBy(F.col(CHUNK).asc()).rowsBetween(
-            Window.unboundedPreceding, -1)
-        down = Window.partitionBy(*self.series).orderBy(F.col(CHUNK).desc()).rowsBetween(
-            Window.unboundedPreceding, -1)
-        return known.select(*self.series, CHUNK, *(
-            e for c in columns for e in (
-                F.last(f"_first_{c}", ignorenulls=True).over(down).alias(f"_after_{c}"),
-                F.last(f"_last_{c}", ignorenulls=True).over(up).alias(f"_before_{c}"))))
+        up, down = (Window.partitionBy(*self.series).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+                    for order in (F.col(CHUNK).asc(), F.col(CHUNK).desc()))
+        before = [F.last(f"_last_{c}", ignorenulls=True).over(up).alias(f"_before_{c}") for c in columns]
+        after = [] if forward_only else [
+            F.last(f"_first_{c}", ignorenulls=True).over(down).alias(f"_after_{c}") for c in columns]
+        return known.select(*self.series, CHUNK, *before, *after)
 
 
 # --- window columns ------------------------------------------------------------------------
