@@ -21,8 +21,8 @@ training texts every word has an even share; an empty table gives no rows.
 from __future__ import annotations
 
 import pickle
-from collections import defaultdict
 import warnings
+from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
 
@@ -34,12 +34,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.texts import per_value, pieces, values
+from terrace.llm.texts import giving_back, per_value, pieces, values
 from terrace.session import cut_lineage
 
 #: Bytes of text in a chunk, and for each shard.
 CHUNK_BYTES = 4 << 20
 SHARD_BYTES = 32 << 20
+#: Parts of a shard that are counted one after the other.
+SLICES = 8
 FOLDS = 10
 HELD_OUT, DELETED, RETAINED = 0, 1, 2
 #: Context frequencies of 2**k to 2**(k+1) - 1 share weights; the last bucket has all above.
@@ -178,7 +180,7 @@ def _added(hashes: list[np.ndarray], times: list[np.ndarray], parts: list[int])
     return keys, everything, retained, back
 
 
-def _answers():
+def _answers(shards_in_all: int):
     """A shard's answers to all chunks, and (with chunk null) what it adds to the totals."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [row for batch in batches for row in zip(
@@ -191,22 +193,32 @@ def _answers():
             found = [_unpack(asked[i].as_py()) for i in own]
             part = [parts[i] for i in own]
             answers: list[list] = [[] for _ in own]
-            totals: list[int] = []
+            totals = np.zeros(3, np.int64)
             for k in (0, 2):
                 hashes = [_from_bytes(f[k]) for f in found]
-                keys, everything, retained, back = _added(hashes, [f[k + 1] for f in found], part)
-                if k == 0:
-                    token = keys != START
-                    totals = [int(everything[token].sum()), int((everything[token] > 0).sum()),
-                              int(retained[token].sum())]
-                at = np.concatenate([[0], np.cumsum([len(h) for h in hashes])])
-                for answer, a, b in zip(answers, at, at[1:]):
-                    answer += [_narrow(everything[back[a:b]]), _narrow(retained[back[a:b]])]
+                times = [f[k + 1] for f in found]
+                pieces_ = [([], []) for _ in own]
+                # A slice of the shard's range at a time: sorting it takes several times its size.
+                edges = [((shard << 64) + (i << 64) // SLICES) // shards_in_all for i in range(1, SLICES)]
+                cuts = [[0, *np.searchsorted(h, np.array(edges, np.uint64)).tolist(), len(h)] for h in hashes]
+                for i in range(SLICES):
+                    some = [h[c[i]:c[i + 1]] for h, c in zip(hashes, cuts)]
+                    keys, everything, retained, back = _added(
+                        some, [t[c[i]:c[i + 1]] for t, c in zip(times, cuts)], part)
+                    if k == 0:
+                        token = keys != START
+                        totals += np.array([everything[token].sum(), (everything[token] > 0).sum(), retained[token].sum()])
+                    at = np.concatenate([[0], np.cumsum([len(h) for h in some])])
+                    for (whole, rest), a, b in zip(pieces_, at, at[1:]):
+                        whole.append(_narrow(everything[back[a:b]]))
+                        rest.append(_narrow(retained[back[a:b]]))
+                for answer, (whole, rest) in zip(answers, pieces_):
+                    answer += [np.concatenate(whole), np.concatenate(rest)]
             yield pa.RecordBatch.from_arrays([
                 pa.array([*(chunks[i] for i in own), None], pa.int64()),
                 pa.array([shard] * (len(own) + 1), pa.int32()),
                 pa.array([*(_pack(*a) for a in answers), None], pa.binary()),
-                *(pa.array([0] * len(own) + [t], pa.int64()) for t in totals)],
+                *(pa.array([0] * len(own) + [t], pa.int64()) for t in totals.tolist())],
                 ["chunk", "shard", "answer", "tokens", "types", "retained"])
     return run
 
@@ -301,18 +313,18 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     shards = max(16, size // SHARD_BYTES + 1)
     answers = cut_lineage(
         chunks.select("chunk", "part", "texts").mapInArrow(
-            _questions(shards), "shard int, chunk long, part int, asked binary")
+            giving_back(_questions(shards)), "shard int, chunk long, part int, asked binary")
         .repartitionById(shards, F.col("shard")).mapInArrow(
-            _answers(), "chunk long, shard int, answer binary, tokens long, types long, retained long"))
+            giving_back(_answers(shards)), "chunk long, shard int, answer binary, tokens long, types long, retained long"))
     tokens, types, retained = answers.filter("chunk IS NULL").agg(
         *(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "retained"))).first()
     by_chunk = answers.filter("chunk IS NOT NULL").groupBy("chunk").agg(
         F.collect_list(F.struct("shard", "answer")).alias("answers"))
     known = chunks.join(by_chunk, "chunk").select("ids", "part", "texts", "answers")
     events = cut_lineage(known.filter(F.col("part") == DELETED).select("texts", "answers").mapInArrow(
-        _deleted(), "bucket int, pair long, before long, word long, n long"))
+        giving_back(_deleted()), "bucket int, pair long, before long, word long, n long"))
     weights = learn(events, retained, types)
     kind = docs.schema[doc_id].dataType.simpleString()
     return known.mapInArrow(
-        _scores(weights, tokens, types), f"doc_id {kind}, held_out boolean, n_tokens long, "
+        giving_back(_scores(weights, tokens, types)), f"doc_id {kind}, held_out boolean, n_tokens long, "
         "n_known long, train_tokens long, base_score double, score double")

@@ -258,7 +258,7 @@ def test_lm_answers_with_counts_beyond_32_bits():
     rows = [pa.RecordBatch.from_arrays(
         [pa.array([0, 0], pa.int32()), pa.array([1, 2]), pa.array([lm_scoring.RETAINED] * 2, pa.int32()),
          pa.array([packed] * 2, pa.binary())], ["shard", "chunk", "part", "asked"])]
-    (answered,) = lm_scoring._answers()(iter(rows))
+    (answered,) = lm_scoring._answers(1)(iter(rows))
     for packed in answered.column("answer").to_pylist()[:2]:
         assert [a.tolist() for a in lm_scoring._unpack(packed)] == [[2 * many, 2]] * 4
 
