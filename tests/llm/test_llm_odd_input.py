@@ -375,3 +375,21 @@ def test_empty_tables(spark, odd, frame):
 def test_pipeline_stages_take_odd_rows(spark, odd):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd, SMALL).count() >= 0, name
+
+
+def test_classifier_over_several_blocks_equals_one(spark, odd, frame, monkeypatch):
+    trusted = frame("doc_id long", [4])
+    scored = lambda: sorted((str(r.row), r.n_grams, r.perplexity or 0.0)
+                            for r in quality_classifier.classified(odd, trusted).collect())
+    whole = scored()
+    monkeypatch.setattr(quality_classifier, "BLOCK_BYTES", 1)
+    monkeypatch.setattr(quality_classifier, "HELD_GRAMS", 1)
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "1")  # a text, and so a block, at a time
+    try:
+        apart = scored()
+    finally:
+        spark.conf.set(limit, before)
+    assert [r[:2] for r in apart] == [r[:2] for r in whole]
+    assert all(abs(a[2] - b[2]) <= 1e-6 * b[2] for a, b in zip(apart, whole))
