@@ -73,6 +73,19 @@ def test_registered_trees_have_full_size(spark):
     assert (boosted.getMaxIter(), boosted.getMaxDepth()) == (200, 5)
 
 
+def test_fits_take_as_many_tasks_as_their_rows_ask_for(spark, monkeypatch):
+    seen, rows_of = [], spark.range(0, 90, 1, 50)
+
+    class Counting:
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+    registered._fitted(rows_of, lambda _: Counting())
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 40)
+    registered._fitted(rows_of, lambda _: Counting())
+    assert seen == [(1, 90), (3, 90)]
+    assert models.gathered(rows_of.filter("id < 0")).rdd.getNumPartitions() == 1
+
+
 def test_stacking_beats_its_weak_part_and_folds_are_stable(data):
     _, _, df = data
     train, test = df.filter("id < 200"), df.filter("id >= 200")
