@@ -5,10 +5,11 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from terrace import registry
 from terrace.plans import facts as F_
 from terrace.plans import gold, jobs, refresh
 from terrace.plans.facts import MONTH, FactStore
-from terrace.registry.common import Tables
+from terrace.registry.common import CONFORMED, Tables
 from terrace.registry.layers_sql import AS_OF, FIRST_DAY, SECOND_DAY
 from terrace.schemas import BRONZE_COLUMNS
 from terrace.sources import tables
@@ -52,6 +53,30 @@ def test_only_touched_buckets_and_months_are_read(store, frame):
     assert rows_of(one, "id") == [("new",)]
 
 
+def test_only_new_rows_are_resolved_and_only_repeated_ids_sorted(store, frame):
+    seen = []
+
+    def resolve(df):
+        seen.append(rows_of(df, "id", "amount"))
+        return df
+    store.add(batch(frame, ("a", "2024-01-05", 1), ("b", "2024-02-01", 2)), "one", (), resolve)
+    sent = batch(frame, ("a", "2024-01-05", 1), ("b", "2024-02-01", 2), ("c", "2024-03-01", 3), ("c", "2024-03-02", 4))
+    assert store.add(sent, "two", [F.col("d").desc()], resolve) == 1
+    assert seen == [[("a", 1), ("b", 2)], [("c", 4)]]
+    assert store.add(sent, "three", [F.col("d").desc()], resolve) == 0 and seen[2:] == [[]]
+    without = batch(frame, (None, "2024-01-05", 1), (None, "2024-01-06", 2), ("b", "2024-01-06", 2))
+    assert rows_of(store.unseen(without, [F.col("d").desc()]), "amount") == [(2,)]
+
+
+def test_tables_are_built_once_for_all_that_is_read_from_them(spark):
+    scans = lambda name: plan_of(registry.QUERIES[name](Tables(spark, SMALL))).split("Initial Plan")[0].count(
+        "/lineitem.parquet")
+    assert scans("mapping_marts") == 0 and scans("layer_row_counts_all") <= 1  # the calendar's bounds
+    assert scans("dq_lineage_bits") == 1
+    kept = Tables(spark, SMALL).keeping(*CONFORMED)
+    assert all("lineitem" not in plan_of(df) for df in (kept.customer_360, kept.branch_performance, kept.daily_summary))
+
+
 def test_many_loads_are_merged_by_bucket(store, frame):
     for load in range(6):
         store.add(batch(frame, *((f"{load}-{i}", "2024-01-01", i) for i in range(20))), f"l{load}")
