@@ -44,8 +44,10 @@ def trace(hops: Sequence[Hop]) -> DataFrame:
     for i, hop in enumerate(hops):
         keyed = hop.rows.filter(hop.key.isNotNull())
         last = i + 1 == len(hops)
+        # What the first layer holds is compared with nothing: what it expects tells that it has the key.
         rows = [F.struct(F.lit(i).alias("hop"), F.lit(True).alias("actual"), _digest(hop.actual).alias("digest"))]
         if not last:
+            rows = rows if i else []
             rows.append(F.struct(F.lit(i + 1).alias("hop"), F.lit(False).alias("actual"),
                                  _digest(hop.expected).alias("digest")))
         parts.append(keyed.select(hop.key.cast("string").alias("key"), F.inline(F.array(*rows))))
@@ -53,8 +55,9 @@ def trace(hops: Sequence[Hop]) -> DataFrame:
         F.bool_or("actual").alias("held"), F.bool_or(~F.col("actual")).alias("awaited"))
     flags = [F.when(F.col("held"), F.expr("shiftleft(1L, 2 * hop)")).otherwise(F.lit(0)),
              F.when(F.col("held") & (F.col("awaited") | (F.col("hop") == 0)), F.expr("shiftleft(1L, 2 * hop + 1)"))
-             .otherwise(F.lit(0))]
-    return met.groupBy("key").agg(F.bit_or(flags[0].bitwiseOR(flags[1])).alias("bits"))
+             .otherwise(F.lit(0)),
+             F.when(F.col("awaited") & (F.col("hop") == 1), F.lit(3)).otherwise(F.lit(0))]
+    return met.groupBy("key").agg(F.bit_or(reduce(lambda a, b: a.bitwiseOR(b), flags)).alias("bits"))
 
 
 def patterns(traced: DataFrame, names: Sequence[str], entity: str) -> DataFrame:

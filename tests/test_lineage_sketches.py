@@ -32,6 +32,12 @@ def test_whole_lineage(frame):
     assert plan_of(traced).split("Initial Plan")[-1].count("Exchange hashpartitioning") == 2
 
 
+def test_the_first_layer_sends_one_row_a_key(frame):
+    plan = plan_of(lineage.trace(hops(frame, *GOOD))).split("Initial Plan")[-1]
+    assert "struct(hop, 1" in plan and "struct(hop, 0" not in plan
+    assert rows_of(lineage.trace([Hop("only", frame(DDL, ("1", "x", 1)), F.col("k"))])) == [("1", 3)]
+
+
 @pytest.mark.parametrize("layer,change,bits,found", [
     (1, None, 63 - 4 - 8 - 32, ("silver", "missing")),
     (1, ("2", "y", 2), 63 - 8, ("silver", "different")),
