@@ -12,6 +12,7 @@ from terrace.plans.facts import MONTH, FactStore
 from terrace.registry.common import CONFORMED, Tables
 from terrace.registry.layers_sql import AS_OF, FIRST_DAY, SECOND_DAY
 from terrace.schemas import BRONZE_COLUMNS
+from terrace.session import folders, shared_root
 from terrace.sources import tables
 from terrace.sources.given import FIRST_LOAD, TRANSACTION_CUTOFF
 from tests.conftest import SMALL, day, plan_of, rows_of
@@ -107,6 +108,18 @@ def test_a_load_that_was_interrupted_is_finished_by_the_next(store, frame, monke
     assert store.finish_staged() == [] and not F_.exists(store.spark, f"{store.staging}/four")
 
 
+def test_a_load_leaves_no_copies_of_its_rows(spark, store, frame):
+    kept = lambda: {n for n in folders(spark, shared_root(spark)) if n.startswith(("cut-", "scratch-"))}
+    before = kept()
+    store.add(batch(frame, ("a", "2024-01-05", 1), ("a", "2024-01-06", 2), ("b", "2024-02-01", 3)), "one", [F.col("d").desc()])
+    assert kept() == before and folders(spark, store.staging) == ["one.done"]
+    assert rows_of(store.staged("one"), "id", "amount") == [("a", 2), ("b", 3)]
+    # One that was interrupted after it was stored loses its copy with the next.
+    spark.range(1).write.parquet(f"{store.staging}/one")
+    assert store.add(batch(frame, ("a", "2024-03-05", 1)), "one") == 0
+    assert folders(spark, store.staging) == ["one.done"]
+
+
 @pytest.fixture(scope="module")
 def layers(spark, tmp_path_factory):
     """Two days of loads and both refreshes."""
